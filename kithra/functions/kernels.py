@@ -177,6 +177,25 @@ class AsymmetricCode(Metric):
         return key, 0.0
 
 
+class PolysemousCode(AsymmetricCode):
+    """Asymmetric distance of the base rows whose code is within ``limit`` bits
+    of the query's own code; the others are out of reach."""
+
+    def __init__(self, codebooks, limit: int):
+        super().__init__(codebooks)
+        self.limit = limit
+
+    def block(self, q, codes):
+        codes = codes.astype(np.int64)
+        key, _ = super().block(q, codes)
+        own = assign_codes(q, self.codebooks)
+        bits = np.zeros(key.shape, np.int64)
+        for m in range(codes.shape[1]):
+            bits += np.bitwise_count(own[:, m][:, None] ^ codes[:, m][None, :])
+        key[bits > self.limit] = np.inf
+        return key, 0.0
+
+
 def _canberra(x, y):
     total = np.abs(x) + np.abs(y)
     return np.divide(np.abs(x - y), total, out=np.zeros(np.broadcast(x, y).shape), where=total != 0)
@@ -249,7 +268,7 @@ class TopK:
             bound = self.kth[lo:lo + step]
             if len(b) > self.k:
                 bound = np.minimum(bound, np.partition(key, self.k - 1, axis=1)[:, self.k - 1])
-            qi, bj = np.nonzero(key <= (bound + slack)[:, None])
+            qi, bj = np.nonzero((key <= (bound + slack)[:, None]) & (key < np.inf))
             exact = metric.pairs(part, b, qi, bj) if slack else key[qi, bj]
             self.push(qi + lo, ids[bj], exact)
 

@@ -93,9 +93,12 @@ def covariance(df: DataFrame, vector: str = "vector") -> DataFrame:
 
 
 def pairwise_dots(df: DataFrame) -> DataFrame:
-    """XXᵀ for sets with fewer rows than dimensions: ``(i, j, value)``."""
+    """XXᵀ as ``(i, j, value)``, for sets with fewer rows than dimensions only."""
     from .blockjoin import block_join
 
+    if df.count() >= _dim(df, "vector"):
+        raise ValueError("more rows than dimensions: use gram")
+
     queries = df.select(F.col("id").alias("query_id"), "vector")
     found = block_join(queries, df, "ip", radius=-float("inf"))
     return found.select(F.col("query_id").alias("i"), F.col("id").alias("j"), F.col("distance").alias("value"))
@@ -197,7 +200,8 @@ def linear_udf(matrix, bias=None):
             return pa.array([], pa.list_(pa.float64()))
         return kernels.list_array(kernels.matrix(v) @ a + b, pa.float64())
 
-    return apply
+    # evaluated once: never inlined into the expressions that use the result
+    return apply.asNondeterministic()
 
 
 @dataclass

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..functions import arrays, distances, hashing
+from ..functions import arrays, distances
 from ..operators import linear
 from ..sources import synthetic
 from .q_search import PROBS, SCALED, probabilities, scaled
@@ -137,8 +138,7 @@ def _(t: Tables):
    list_sum(list_transform(list_zip(v, generate_series(0, 63)), lambda z: z[1] * (z[2] % 3)::DOUBLE)) + 0.5,
    list_sum(list_transform(list_zip(v, generate_series(0, 63)), lambda z: z[1] * (z[2] % 5)::DOUBLE)) - 1.0]''')} AS vector FROM vec""")
 def _(t: Tables):
-    model = linear.Linear([[float(i % 3), float(i % 5)] for i in range(64)], [0.5, -1.0])
-    model.matrix = __import__("numpy").array(model.matrix)
+    model = linear.Linear(np.array([[i % 3, i % 5] for i in range(64)], float), np.array([0.5, -1.0]))
     return model.transform(t.vectors).select("id", arrays.rounded("vector").alias("vector"))
 
 
@@ -241,9 +241,17 @@ def _(t: Tables):
     return _gram(linear.covariance(scaled(t.vectors, "id")))
 
 
-@query("pairwise_dot_products", f"""WITH {VECTORS}, {SCALED} SELECT a.id AS i, b.id AS j, {ip('a.v', 'b.v')} AS value FROM svec a, svec b""")
+@query("pairwise_dot_products", """WITH c AS (SELECT label, generate_subscripts(embedding, 1) AS dim, unnest(embedding::DOUBLE[]) AS x FROM embeddings),
+  m AS (SELECT label, dim, avg(x) AS x FROM c GROUP BY label, dim)
+  SELECT a.label::BIGINT AS i, b.label::BIGINT AS j, round(sum(a.x * b.x), 6) AS value FROM m a JOIN m b USING (dim) GROUP BY ALL""")
 def _(t: Tables):
-    return linear.pairwise_dots(scaled(t.vectors, "id"))
+    """Dot products of the class centres (fewer centres than dimensions)."""
+    centres = (
+        linear.vector_stats(t.labelled, by=["label"]).groupBy(F.col("label").cast("long").alias("id"))
+        .agg(F.array_sort(F.collect_list(F.struct("dim", "mean"))).alias("cells"))
+        .select("id", F.col("cells.mean").alias("vector"))
+    )
+    return linear.pairwise_dots(centres).withColumn("value", F.round("value", 6))
 
 
 @query("vector_statistics", f"""WITH {VECTORS}, {SCALED}, {CELLS.format('svec')}
