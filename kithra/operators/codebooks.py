@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import arrays, kernels
+from ..functions.arrowmap import with_arrow_column
 from ..functions.hashing import keyed_hash
 
 MODEL_BYTES = 256 << 20  # largest model shared with every task
@@ -97,26 +97,18 @@ class Codebook:
     def encode(self, df: DataFrame, vector="vector", codes="codes") -> DataFrame:
         """Nearest codeword per sub-space, as ``array<int>``."""
         parts = self.parts
-
-        @F.arrow_udf("array<int>")
-        def nearest_words(v: pa.Array) -> pa.Array:
-            if not len(v):
-                return pa.array([], pa.list_(pa.int32()))
-            return kernels.list_array(kernels.assign_codes(kernels.matrix(v), parts).astype(np.int32), pa.int32())
-
-        return df.withColumn(codes, nearest_words.asNondeterministic()(F.col(vector)))
+        return with_arrow_column(
+            df, codes, "array<int>", vector,
+            lambda v: kernels.list_array(kernels.assign_codes(kernels.matrix(v), parts).astype(np.int32), pa.int32()))
 
     def decode(self, df: DataFrame, codes="codes", vector="vector") -> DataFrame:
         words = self.words
 
-        @F.arrow_udf("array<double>")
         def join_words(c: pa.Array) -> pa.Array:
-            if not len(c):
-                return pa.array([], pa.list_(pa.float64()))
             code = kernels.matrix(c, np.int64)
             return kernels.list_array(np.hstack([w[code[:, m]] for m, w in enumerate(words)]), pa.float64())
 
-        return df.withColumn(vector, join_words.asNondeterministic()(F.col(codes)))
+        return with_arrow_column(df, vector, "array<double>", codes, join_words)
 
     def compress(self, df: DataFrame, vector="vector") -> DataFrame:
         """decode(encode(v)) in place."""
@@ -203,13 +195,12 @@ def assign(df: DataFrame, centroids: np.ndarray, vector="vector", cell="list_id"
     """Adds the nearest centroid's number and its squared distance."""
     centroids = np.asarray(centroids, float)
 
-    @F.arrow_udf("struct<cell int, distance double>")
     def nearest_cell(v: pa.Array) -> pa.Array:
-        code, dist = kernels.nearest(kernels.matrix(v), centroids) if len(v) else (np.empty((0, 1)), np.empty((0, 1)))
+        code, dist = kernels.nearest(kernels.matrix(v), centroids)
         return pa.StructArray.from_arrays(
             [pa.array(code[:, 0], pa.int32()), pa.array(dist[:, 0], pa.float64())], ["cell", "distance"])
 
-    found = df.withColumn("_near", nearest_cell.asNondeterministic()(F.col(vector)))
+    found = with_arrow_column(df, "_near", "struct<cell:int,distance:double>", vector, nearest_cell)
     found = found.withColumn(cell, F.col("_near.cell"))
     if distance:
         found = found.withColumn(distance, F.col("_near.distance"))

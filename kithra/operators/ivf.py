@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import arrays, kernels
+from ..functions.arrowmap import with_arrow_column
 from . import skew
 from .blockjoin import search
 from .codebooks import Codebook, assign
@@ -25,16 +26,14 @@ def probe(queries: DataFrame, centroids: np.ndarray, nprobe: int, metric="l2") -
     kernel = kernels.metric_of("ip" if metric in ("ip", "cosine") else "l2")
     count = min(nprobe, len(centroids))
 
-    @F.arrow_udf("array<int>")
     def cells(v: pa.Array) -> pa.Array:
-        if not len(v):
-            return pa.array([], pa.list_(pa.int32()))
         best = kernels.TopK(len(v), count)
         best.scan(kernel, kernels.matrix(v), centroids, np.arange(len(centroids)))
         return kernels.list_array(best.ids.reshape(len(v), count).astype(np.int32), pa.int32())
 
-    rows = queries.withColumn("vector", arrays.doubles("vector"))
-    return rows.select("query_id", "vector", F.explode(cells.asNondeterministic()("vector")).alias("list_id"))
+    rows = queries.select("query_id", arrays.doubles("vector").alias("vector"))
+    rows = with_arrow_column(rows, "cells", "array<int>", "vector", cells)
+    return rows.select("query_id", "vector", F.explode("cells").alias("list_id"))
 
 
 def build_postings(base: DataFrame, centroids: np.ndarray, metric="l2") -> DataFrame:
@@ -114,10 +113,7 @@ def imi_probe(queries: DataFrame, book: Codebook, nprobe: int) -> DataFrame:
         raise ValueError("too many composed cells to rank per query")
     count = min(nprobe, cells)
 
-    @F.arrow_udf("array<bigint>")
     def best_cells(v: pa.Array) -> pa.Array:
-        if not len(v):
-            return pa.array([], pa.list_(pa.int64()))
         x = kernels.matrix(v)
         tables = kernels.AsymmetricCode(parts).tables(x)
         out = np.empty((len(x), count), np.int64)
@@ -128,8 +124,9 @@ def imi_probe(queries: DataFrame, book: Codebook, nprobe: int) -> DataFrame:
             out[i] = np.lexsort((np.arange(cells), sums))[:count]
         return kernels.list_array(out, pa.int64())
 
-    rows = queries.withColumn("vector", arrays.doubles("vector"))
-    return rows.select("query_id", "vector", F.explode(best_cells.asNondeterministic()("vector")).alias("list_id"))
+    rows = queries.select("query_id", arrays.doubles("vector").alias("vector"))
+    rows = with_arrow_column(rows, "cells", "array<bigint>", "vector", best_cells)
+    return rows.select("query_id", "vector", F.explode("cells").alias("list_id"))
 
 
 def imi_knn(queries, base, book: Codebook, k: int, nprobe: int, **options) -> DataFrame:
@@ -149,15 +146,12 @@ def hamming_cells(rows: DataFrame, centroids: DataFrame, key: str, nprobe: int,
     ids, words = kernels.longs(table["id"]), kernels.matrix(table["vector"], np.int64)
     count = min(nprobe, len(ids))
 
-    @F.arrow_udf("array<int>")
     def cells(v: pa.Array) -> pa.Array:
-        if not len(v):
-            return pa.array([], pa.list_(pa.int32()))
         best = kernels.TopK(len(v), count)
         best.scan(kernels.Hamming(), kernels.matrix(v, np.int64), words, ids)
         return kernels.list_array(best.ids.reshape(len(v), count).astype(np.int32), pa.int32())
 
-    return rows.withColumn(out, F.explode(cells.asNondeterministic()("vector")))
+    return with_arrow_column(rows, out, "array<int>", "vector", cells).withColumn(out, F.explode(out))
 
 
 def hamming_ivf_knn(queries, base, centroids: DataFrame, k: int, nprobe: int = 1, **options) -> DataFrame:

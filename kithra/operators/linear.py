@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
+from ..functions.arrowmap import with_arrow_column
 
 
 # ---------------------------------------------------------------- statistics
@@ -189,19 +190,12 @@ def uniform_bucket(x: Column, low: float, high: float, n: int) -> tuple[Column,
 
 # --------------------------------------------------------- linear transforms
 
-def linear_udf(matrix, bias=None):
-    """Arrow UDF v ↦ v·A + b (one matrix product per batch)."""
+def apply_linear(df: DataFrame, matrix, bias=None, source="vector", out="vector") -> DataFrame:
+    """out = source·A + b, one matrix product per Arrow batch."""
     a = np.asarray(matrix, np.float64)
     b = np.zeros(a.shape[1]) if bias is None else np.asarray(bias, np.float64)
-
-    @F.arrow_udf("array<double>")
-    def apply(v: pa.Array) -> pa.Array:
-        if not len(v):
-            return pa.array([], pa.list_(pa.float64()))
-        return kernels.list_array(kernels.matrix(v) @ a + b, pa.float64())
-
-    # evaluated once: never inlined into the expressions that use the result
-    return apply.asNondeterministic()
+    return with_arrow_column(
+        df, out, "array<double>", source, lambda v: kernels.list_array(kernels.matrix(v) @ a + b, pa.float64()))
 
 
 @dataclass
@@ -216,7 +210,7 @@ class Linear:
         return self.matrix.shape[1]
 
     def transform(self, df: DataFrame, column: str = "vector") -> DataFrame:
-        return df.withColumn(column, linear_udf(self.matrix, self.bias)(F.col(column)))
+        return apply_linear(df, self.matrix, self.bias, column, column)
 
     def then(self, other: "Linear") -> "Linear":
         """One map for two in a row."""
@@ -344,7 +338,7 @@ class ITQ:
         low = pca.transform(df.select(column), column)
         rotation = random_rotation(self.bits, self.bits, self.seed).matrix
         for _ in range(self.iterations):
-            turned = low.select(F.col(column).alias("v"), linear_udf(rotation)(F.col(column)).alias("w"))
+            turned = apply_linear(low.select(F.col(column).alias("v")), rotation, source="v", out="w")
             signs = turned.withColumn("w", F.transform("w", lambda x: F.when(x > 0, 1.0).otherwise(-1.0)))
             u, _, vt = np.linalg.svd(matrix_of(gram_rows(signs, "v", other="w")))
             rotation = u @ vt
