@@ -342,3 +342,32 @@ def _(t: Tables):
 @query("lsh_trained_code_knn")
 def _(t: Tables):
     return codecs.lsh_code_knn(t.queries, t.vectors, 96, 10, seed=3, train=True)
+
+
+@query("residual_tree_error")
+def _(t: Tables):
+    from ..operators.trees import TreeQuantizer
+
+    return codebooks.roundtrip_error(t.vectors, TreeQuantizer(3, 8, 3).fit(t.vectors))
+
+
+@query("residual_tree_codes", f"""WITH {VECTORS}, {LAYER1},
+  res AS (SELECT f.id, f.list_id AS parent, list_transform(list_zip(f.v, c.v), lambda z: z[1] - z[2]) AS v FROM f1 f JOIN c1 c ON c.id = f.list_id),
+  w AS (SELECT parent, v, r - 1 AS code FROM (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY ('0x'||substr(md5(concat_ws(':', id::VARCHAR, '0')),1,8))::BIGINT, id) AS r FROM res) WHERE r <= 8)
+  SELECT id, parent::INTEGER AS level1, code::INTEGER AS level2 FROM (SELECT res.id, res.parent, w.code, row_number() OVER (PARTITION BY res.id ORDER BY {l2('res.v', 'w.v')}, w.code) AS r
+   FROM res JOIN w USING (parent)) WHERE r = 1""")
+def _(t: Tables):
+    """Second level untrained: the starting words of every parent are its codebook."""
+    from ..operators.trees import Branches, TreeCodec, TreeQuantizer
+
+    shared = codebooks.fit_codebook(t.vectors, 1, 8, 1, "first")
+    branches = TreeQuantizer(2, 8, 0)._fit_branches(t.vectors.withColumn("vector", arrays.doubles("vector")), shared, "id")
+    codes = TreeCodec([(shared.centroids, branches)]).encode(t.vectors)
+    return codes.select("id", F.col("codes")[0].alias("level1"), F.col("codes")[1].alias("level2"))
+
+
+@query("additive_quantizer_error")
+def _(t: Tables):
+    from ..operators.additive import AdditiveQuantizer
+
+    return codebooks.roundtrip_error(t.vectors, AdditiveQuantizer(3, 16, 3, beam=16).fit(t.vectors))
