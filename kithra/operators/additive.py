@@ -30,9 +30,8 @@ def beam_codes(x: np.ndarray, words: np.ndarray, beam: int = BEAM) -> np.ndarray
     cross = 2.0 * flat @ flat.T
     size = np.einsum("ij,ij->i", flat, flat)
     book = np.repeat(np.arange(m), k)
-    radix = np.array([(k + 1) ** i for i in range(m)], dtype=object)
-    small = (k + 1) ** m < 2**62
-    mix = np.array([int(r) if small else hash((int(r), 7)) & 0x7FFFFFFFFFFF for r in radix], np.int64)
+    # a wrapping 64-bit sum tells sets of words apart
+    mix = np.random.default_rng(1).integers(1, 2**62, m) | 1
     step = max(1, (1 << 22) // (beam * m * k))
     out = np.empty((len(x), m), np.int64)
     for lo in range(0, len(x), step):
@@ -42,8 +41,7 @@ def beam_codes(x: np.ndarray, words: np.ndarray, beam: int = BEAM) -> np.ndarray
         codes = np.full((n, 1, m), -1, np.int64)
         score = np.zeros((n, 1))
         for depth in range(m):
-            width = codes.shape[1]
-            cand = np.repeat((score[:, :, None] + single[:, None, :])[..., None], 1, 3)[..., 0]
+            cand = score[:, :, None] + single[:, None, :]
             for c in range(m):
                 used = codes[:, :, c] >= 0
                 known = cross[np.where(used, c * k + codes[:, :, c], 0)]

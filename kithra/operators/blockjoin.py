@@ -146,11 +146,11 @@ def grid(left: DataFrame, right: DataFrame, group: str, left_rows: int, right_ro
             lookup = F.broadcast(lookup)
     nl, nr = F.coalesce("_nl", F.lit(1)), F.coalesce("_nr", F.lit(1))
     lrows = left.join(lookup, group, how).select(
-        *left.columns, F.pmod(F.xxhash64(left_key), nl).cast("int").alias("_lb"),
+        *left.columns, F.pmod(left_key, nl).cast("int").alias("_lb"),
         F.explode(F.sequence(F.lit(0), nr - 1)).alias("_rb"),
     )
     rrows = right.join(lookup, group, how).select(
-        *right.columns, F.pmod(F.xxhash64(right_key), nr).cast("int").alias("_rb"),
+        *right.columns, F.pmod(right_key, nr).cast("int").alias("_rb"),
         F.explode(F.sequence(F.lit(0), nl - 1)).alias("_lb"),
     )
     return lrows, rrows
@@ -160,7 +160,8 @@ def _grid_form(queries, base, metric, k, radius, group, query_vector, base_vecto
     key = F.lit(0) if group is None else F.col(group)
     left = queries.select(key.alias("_g"), F.col("query_id").cast("long"), F.col(query_vector).alias("v"))
     right = base.select(key.alias("_g"), F.col("id").cast("long"), F.col(base_vector).alias("v"))
-    left, right = grid(left, right, "_g", query_block, base_block, F.col("query_id"), F.col("id"))
+    # rows of one id (an image's descriptors) spread over the blocks as well
+    left, right = grid(left, right, "_g", query_block, base_block, F.xxhash64("query_id", "v"), F.xxhash64("id", "v"))
 
     def compare(lt: pa.Table, rt: pa.Table) -> pa.Table:
         empty = _pairs_table(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), metric)

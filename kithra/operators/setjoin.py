@@ -89,7 +89,7 @@ def jaccard_sets_join(left: DataFrame, right: DataFrame | None, threshold: float
     own = right is None
     other = left if own else right
     lp, rp = _prefix(left, threshold), _prefix(other, threshold)
-    lp, rp = grid(lp, rp, "word_id", bucket_rows, bucket_rows, F.col("set_id"), F.col("set_id"))
+    lp, rp = grid(lp, rp, "word_id", bucket_rows, bucket_rows, F.xxhash64("set_id"), F.xxhash64("set_id"))
     lp = lp.select("word_id", "_lb", "_rb", F.col("set_id").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))
     rp = rp.select("word_id", "_lb", "_rb", F.col("set_id").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
     # overlap the pair needs, and the most it can still reach from this word on
@@ -171,7 +171,7 @@ def lsh_candidates(left: DataFrame, right: DataFrame | None, bands: int, rows: i
         return df.select("set_id", F.explode(parts).alias("p")).select("set_id", F.struct("p.band", "p.h").alias("bucket"))
 
     own = right is None
-    lb, rb = grid(banded(left), banded(left if own else right), "bucket", bucket_rows, bucket_rows, F.col("set_id"), F.col("set_id"))
+    lb, rb = grid(banded(left), banded(left if own else right), "bucket", bucket_rows, bucket_rows, F.xxhash64("set_id"), F.xxhash64("set_id"))
     pairs = lb.withColumnRenamed("set_id", "a").join(rb.withColumnRenamed("set_id", "b"), ["bucket", "_lb", "_rb"])
     if own:
         pairs = pairs.filter(F.col("a") < F.col("b"))
