@@ -30,18 +30,46 @@ def _overlap(a, b, method: str):
     return shared / (least(area_a, area_b) if method == "Min" else area_a + area_b - shared)
 
 
-def _greedy(table: pa.Table, threshold: float, method: str) -> pa.Table:
-    """Keep boxes best first, dropping those that overlap a kept one too much."""
-    score = table["score"].to_numpy()
-    order = np.lexsort((table["box_id"].to_numpy(), -score))
-    c = {name: table[name].to_numpy().astype(float) for name in CORNERS}
-    kept = []
+def _greedy(c: np.ndarray, threshold: float, method: str) -> list[int]:
+    """Rows kept of one image's boxes, given best first as x1, y1, x2, y2 columns."""
+    order, kept = np.arange(len(c)), []
     while len(order):
         best, others = order[0], order[1:]
-        kept.append(best)
-        share = _overlap({n: v[best] for n, v in c.items()}, {n: v[others] for n, v in c.items()}, method)
-        order = others[share <= threshold]
-    return table.take(pa.array(kept, pa.int64()))
+        kept.append(int(best))
+        if not len(others):
+            break
+        a = dict(zip(CORNERS, c[best]))
+        b = dict(zip(CORNERS, c[others].T))
+        order = others[_overlap(a, b, method) <= threshold]
+    return kept
+
+
+def _suppress(batches, threshold: float, method: str):
+    """Greedy suppression over rows that come image by image, best first.
+
+    An image may go on in the next batch; its rows (at most one block) wait for it.
+    """
+    waiting = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table])
+        if not table.num_rows:
+            continue
+        image = table["image_id"].to_numpy()
+        edges = np.flatnonzero(np.r_[True, image[1:] != image[:-1]])
+        waiting = table.slice(int(edges[-1]))
+        yield from _kept(table.slice(0, int(edges[-1])), edges, threshold, method)
+    if waiting is not None and waiting.num_rows:
+        yield from _kept(waiting, np.array([0, waiting.num_rows]), threshold, method)
+
+
+def _kept(table: pa.Table, edges, threshold, method):
+    corners = np.stack([table[n].to_numpy().astype(float) for n in CORNERS], 1)
+    rows = []
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        rows.extend(lo + r for r in _greedy(corners[lo:hi], threshold, method))
+    yield from table.take(pa.array(rows, pa.int64())).to_batches()
 
 
 def nms(boxes: DataFrame, threshold: float, method: str = "Union", block: int = BLOCK) -> DataFrame:
@@ -58,7 +86,9 @@ def nms(boxes: DataFrame, threshold: float, method: str = "Union", block: int =
     while True:
         window = Window.partitionBy("image_id").orderBy(F.col("score").desc(), "box_id")
         first = left.withColumn("_r", F.row_number().over(window)).filter(F.col("_r") <= block)
-        picks = first.drop("_r").groupBy("image_id").applyInArrow(lambda t: _greedy(t, threshold, method), schema)
+        # the rank window leaves each image in one partition; the sort adds no shuffle
+        ranked = first.sortWithinPartitions("image_id", "_r").drop("_r")
+        picks = ranked.mapInArrow(lambda batches: _suppress(batches, threshold, method), schema)
         crowded = left.groupBy("image_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > block)
         images = crowded.limit(BROADCAST_IMAGES + 1).count()
         if not images:

@@ -144,12 +144,27 @@ def boxes(t: Tables):
 CORNERS = ["x1", "y1", "x2", "y2"]
 
 
-@query("nms_union")
+def _nms_sql(limit, over):
+    """Greedy by recursion over the rank of a box in its image, carrying the boxes kept so far."""
+    shared = ("(greatest(least(k.x2, b.x2) - greatest(k.x1, b.x1) + 1, 0.0) * greatest(least(k.y2, b.y2) - greatest(k.y1, b.y1) + 1, 0.0))")
+    area = "(({0}.x2 - {0}.x1 + 1) * ({0}.y2 - {0}.y1 + 1))"
+    both = f"least({area.format('k')}, {area.format('b')})" if over == "Min" else f"({area.format('k')} + {area.format('b')} - {shared})"
+    clash = shared.replace("k.", "z.") + " / " + both.replace("k.", "z.")
+    return f"""WITH RECURSIVE {BOX}, o AS (SELECT image_id, box_id, score, {{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} AS b, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, box_id) AS r FROM box),
+  run(image_id, r, kept, ids) AS (SELECT image_id, 1::BIGINT, [b], [box_id] FROM o WHERE r = 1
+   UNION ALL SELECT run.image_id, o.r, CASE WHEN len(list_filter(run.kept, lambda z: {clash.replace('b.', 'o.b.')} > {limit})) = 0 THEN list_append(run.kept, o.b) ELSE run.kept END,
+    CASE WHEN len(list_filter(run.kept, lambda z: {clash.replace('b.', 'o.b.')} > {limit})) = 0 THEN list_append(run.ids, o.box_id) ELSE run.ids END
+   FROM run JOIN o ON o.image_id = run.image_id AND o.r = run.r + 1),
+  last AS (SELECT image_id, unnest(ids) AS box_id FROM (SELECT image_id, ids, row_number() OVER (PARTITION BY image_id ORDER BY r DESC) AS z FROM run) WHERE z = 1)
+  SELECT box.image_id, box.box_id, x1, y1, x2, y2, score FROM box JOIN last ON box.image_id = last.image_id AND box.box_id = last.box_id"""
+
+
+@query("nms_union", _nms_sql(0.5, "Union"))
 def _(t: Tables):
     return bx.nms(boxes(t), 0.5).select("image_id", "box_id", *CORNERS, "score")
 
 
-@query("nms_min")
+@query("nms_min", _nms_sql(0.6, "Min"))
 def _(t: Tables):
     return bx.nms(boxes(t), 0.6, "Min").select("image_id", "box_id", *CORNERS, "score")
 
