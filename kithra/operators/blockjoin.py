@@ -132,11 +132,11 @@ def grid(left: DataFrame, right: DataFrame, group: str, left_rows: int, right_ro
     which also drops rows whose group has no partner.  With more groups only
     those needing several cells are looked up: at most (rows / block rows).
     """
-    counts = (
-        block_counts(left, group, left_rows, "_nl")
-        .join(block_counts(right, group, right_rows, "_nr"), group, "full")
-        .persist()
-    )
+    if left is right:
+        counts = block_counts(left, group, left_rows, "_nl").withColumn("_nr", F.col("_nl"))
+    else:
+        counts = block_counts(left, group, left_rows, "_nl").join(block_counts(right, group, right_rows, "_nr"), group, "full")
+    counts = counts.persist()
     partners = counts.filter("_nl is not null and _nr is not null")
     if partners.limit(GROUP_ROWS_BROADCAST + 1).count() <= GROUP_ROWS_BROADCAST:
         lookup, how = F.broadcast(partners), "inner"

@@ -34,47 +34,57 @@ MIN_WORDS = 3  # fixed value: texts of at most this many words are not indexed
 def distinct_sets(texts: DataFrame, key="id", text="text", hot_rows=skew.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Distinct word sets ``(set_id, words, copies)`` and members ``(set_id, id)``.
 
-    ``set_id`` is the lowest id of the set.
+    ``set_id`` is the lowest id of the set.  Copies are folded inside each
+    partition before the shuffle, so a large group of them travels as one row.
     """
     rows = texts.select(F.col(key).alias("id"), F.sort_array(word_set(text)).alias("words"))
-    # the signature identifies the sorted words; the words themselves stay out of the shuffle
-    signed = rows.withColumn("sig", F.sha2(F.to_json(F.struct("words")), 256))
-    found = signed.select("id", "sig").groupBy("sig").agg(F.min("id").alias("set_id"), F.count("*").alias("copies"))
+    # words hold no spaces, so the joined text stands for the set
+    signed = rows.withColumn("sig", F.sha2(F.array_join("words", " "), 256))
+    sets = signed.groupBy("sig").agg(
+        F.min("id").alias("set_id"), F.min_by("words", "id").alias("words"), F.count("*").alias("copies"))
+    found = signed.groupBy("sig").agg(F.min("id").alias("set_id"), F.count("*").alias("copies"))
     members = skew.lookup_join(signed.select("id", "sig"), found, "sig", "copies", hot_rows).select("set_id", "id")
-    sets = found.select("set_id", "copies").join(rows.withColumnRenamed("id", "set_id"), "set_id")
     return sets.select("set_id", "words", "copies"), members
 
 
 def number_words(sets: DataFrame, other: DataFrame | None = None) -> DataFrame:
-    """Word → number ``(word, n, word_id)``, rarest first."""
+    """Word → number ``(word, n, word_id)``, rarest first.
+
+    Words of a single set cannot be shared and get no number.
+    """
     tokens = sets.select(F.explode("words").alias("word"))
     if other is not None:
         tokens = tokens.unionAll(other.select(F.explode("words").alias("word")))
-    return with_ordinal(tokens.groupBy("word").agg(F.count("*").alias("n")), ["n", "word"], "word_id")
+    shared = tokens.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1")
+    return with_ordinal(shared, ["n", "word"], "word_id")
 
 
 def numbered_sets(sets: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``(set_id, ids, size)`` with word numbers ascending, i.e. rarest word first."""
-    tokens = sets.select("set_id", F.explode("words").alias("word"))
+    """``(set_id, ids, size)``: numbers of the shared words ascending, i.e. rarest first.
+
+    ``size`` counts all words; the unshared ones come before ``ids`` in the order.
+    """
+    tokens = sets.select("set_id", F.size("words").alias("size"), F.explode("words").alias("word"))
     coded = skew.lookup_join(tokens, numbers, "word", "n")
-    out = coded.groupBy("set_id").agg(F.sort_array(F.collect_list("word_id")).alias("ids"))
-    return out.withColumn("size", F.size("ids"))
+    return coded.groupBy("set_id").agg(F.first("size").alias("size"), F.sort_array(F.collect_list("word_id")).alias("ids"))
 
 
 # ------------------------------------------------------------ exact set join
 
 def _prefix(sets: DataFrame, threshold: float) -> DataFrame:
     """Two sets above the threshold share a word among each one's rarest few."""
-    length = F.col("size") - F.ceil(F.col("size") * threshold).cast("int") + 1
-    return sets.select("set_id", "size", F.posexplode(F.slice("ids", F.lit(1), F.least(length, F.col("size")))).alias("pos", "word_id"))
+    unshared = F.col("size") - F.size("ids")
+    length = F.col("size") - F.ceil(F.col("size") * threshold).cast("int") + 1 - unshared
+    head = F.slice("ids", F.lit(1), F.greatest(F.least(length, F.size("ids")), F.lit(0)))
+    return sets.select("set_id", "size", unshared.alias("_u"), F.posexplode(head).alias("_p", "word_id")).select(
+        "set_id", "size", (F.col("_p") + F.col("_u")).alias("pos"), "word_id")
 
 
 def _verified(candidates: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Exact Jaccard of candidate ``(a, b)`` pairs, strictly above the threshold."""
     rows = candidates.join(left.select(F.col("set_id").alias("a"), F.col("ids").alias("ia"), F.col("size").alias("na")), "a").join(
         right.select(F.col("set_id").alias("b"), F.col("ids").alias("ib"), F.col("size").alias("nb")), "b")
-    common = F.size(F.array_intersect("ia", "ib"))
-    rows = rows.withColumn("common", common)
+    rows = rows.withColumn("common", F.size(F.array_intersect("ia", "ib")))
     value = F.col("common").cast("double") / (F.col("na") + F.col("nb") - F.col("common"))
     return rows.select("a", "b", value.alias("jaccard")).filter(F.col("jaccard") > threshold)
 
@@ -88,7 +98,8 @@ def jaccard_sets_join(left: DataFrame, right: DataFrame | None, threshold: float
         raise ValueError("threshold must lie between 0 and 1")
     own = right is None
     other = left if own else right
-    lp, rp = _prefix(left, threshold), _prefix(other, threshold)
+    lp = _prefix(left, threshold)
+    rp = lp if own else _prefix(other, threshold)
     lp, rp = grid(lp, rp, "word_id", bucket_rows, bucket_rows, F.xxhash64("set_id"), F.xxhash64("set_id"))
     lp = lp.select("word_id", "_lb", "_rb", F.col("set_id").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))
     rp = rp.select("word_id", "_lb", "_rb", F.col("set_id").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
@@ -106,14 +117,16 @@ def jaccard_sets_join(left: DataFrame, right: DataFrame | None, threshold: float
 
 def jaccard_join(a: DataFrame, b: DataFrame | None, threshold: float, **options) -> DataFrame:
     """Pairs of distinct word sets ``(a, b, jaccard)`` of two text tables ``(id, text)``, or of one."""
-    left, _ = distinct_sets(a)
-    if b is None:
-        numbers = materialize(number_words(left), "words")
-        return jaccard_sets_join(materialize(numbered_sets(left, numbers), "sets"), None, threshold, **options)
-    right, _ = distinct_sets(b)
+    left = materialize(distinct_sets(a)[0], "sets")
+    right = None if b is None else materialize(distinct_sets(b)[0], "sets")
+    return _joined_sets(left, right, threshold, **options)
+
+
+def _joined_sets(left, right, threshold, **options):
     numbers = materialize(number_words(left, right), "words")
-    return jaccard_sets_join(
-        materialize(numbered_sets(left, numbers), "sets"), materialize(numbered_sets(right, numbers), "sets"), threshold, **options)
+    ls = materialize(numbered_sets(left, numbers), "numbered")
+    rs = None if right is None else materialize(numbered_sets(right, numbers), "numbered")
+    return jaccard_sets_join(ls, rs, threshold, **options)
 
 
 # ----------------------------------------------------------------- MinHash
@@ -171,36 +184,39 @@ def lsh_candidates(left: DataFrame, right: DataFrame | None, bands: int, rows: i
         return df.select("set_id", F.explode(parts).alias("p")).select("set_id", F.struct("p.band", "p.h").alias("bucket"))
 
     own = right is None
-    lb, rb = grid(banded(left), banded(left if own else right), "bucket", bucket_rows, bucket_rows, F.xxhash64("set_id"), F.xxhash64("set_id"))
+    lb = banded(left)
+    lb, rb = grid(lb, lb if own else banded(right), "bucket", bucket_rows, bucket_rows, F.xxhash64("set_id"), F.xxhash64("set_id"))
     pairs = lb.withColumnRenamed("set_id", "a").join(rb.withColumnRenamed("set_id", "b"), ["bucket", "_lb", "_rb"])
     if own:
         pairs = pairs.filter(F.col("a") < F.col("b"))
     return pairs.select("a", "b").distinct()
 
 
-def minhash_lsh_join(a: DataFrame, b: DataFrame | None, threshold: float, n_perm: int = 256, seed: int = 0, text="text", layout=None) -> DataFrame:
+def minhash_lsh_join(a: DataFrame, b: DataFrame | None, threshold: float, n_perm: int = 256, seed: int = 0, layout=None) -> DataFrame:
     """Pairs of distinct word sets found by banded MinHash and verified exactly.
 
     No false positives; texts of at most three words are not indexed.
     """
-    bands, rows = layout or band_layout(threshold, n_perm)
+    left = materialize(distinct_sets(a)[0], "sets")
+    right = None if b is None else materialize(distinct_sets(b)[0], "sets")
+    return _lsh_joined_sets(left, right, threshold, n_perm, seed, layout)
 
-    def indexed(texts, keep_short):
-        sets, _ = distinct_sets(texts, text=text)
-        return sets if keep_short else sets.filter(F.size("words") > MIN_WORDS)
 
-    left = indexed(a, b is not None)
-    right = None if b is None else indexed(b, False)
+def _lsh_joined_sets(left, right, threshold, n_perm, seed, layout=None):
+    bands, rows = layout or band_layout(threshold, n_perm)
+    long_enough = F.size("words") > MIN_WORDS
+    left = left.filter(long_enough) if right is None else left
+    right = None if right is None else right.filter(long_enough)
     numbers = materialize(number_words(left, right), "words")
 
     def signed(sets):
-        ids = numbered_sets(sets, numbers)
-        return materialize(minhash_signature(sets.select("set_id", "words"), n_perm, seed).select("set_id", "signature").join(ids, "set_id"), "signed")
+        signatures = minhash_signature(sets.select("set_id", "words"), n_perm, seed).select("set_id", "signature")
+        return materialize(signatures, "signatures"), materialize(numbered_sets(sets, numbers), "numbered")
 
-    ls = signed(left)
-    rs = ls if right is None else signed(right)
-    found = lsh_candidates(ls.select("set_id", "signature"), None if right is None else rs.select("set_id", "signature"), bands, rows)
-    return _verified(found, ls, rs, threshold)
+    lsig, lset = signed(left)
+    rsig, rset = (None, lset) if right is None else signed(right)
+    found = lsh_candidates(lsig, rsig, bands, rows)
+    return _verified(found, lset, rset, threshold)
 
 
 # ------------------------------------------------------------- applications
@@ -220,12 +236,13 @@ def text_neighbours(
         raise ValueError("mode must be 'best' or 'sample'")
     asked = queries.select("id", F.col("lemma").alias("text"))
     stored = source.select("id", F.col("lemma").alias("text"))
+    asked_sets, asked_members = distinct_sets(asked)
+    stored_sets, stored_members = distinct_sets(stored)
+    asked_sets, stored_sets = materialize(asked_sets, "sets"), materialize(stored_sets, "sets")
     if method == "exact":
-        pairs = jaccard_join(asked, stored, lemma_threshold)
+        pairs = _joined_sets(asked_sets, stored_sets, lemma_threshold)
     else:
-        pairs = minhash_lsh_join(asked, stored, lemma_threshold, n_perm, seed)
-    _, asked_members = distinct_sets(asked)
-    _, stored_members = distinct_sets(stored)
+        pairs = _lsh_joined_sets(asked_sets, stored_sets, lemma_threshold, n_perm, seed)
     # group the stored members by (lemma set, text): equal texts tie, so k of each are enough
     texts = source.select("id", "text", F.sort_array(word_set("text")).alias("words"))
     rows = stored_members.join(texts, "id").withColumn("sig", F.sha2("text", 256))

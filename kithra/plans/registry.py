@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -29,6 +31,7 @@ class Tables:
     """The Parquet tables of one folder, plus the shapes derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship_package(spark)
         self.spark, self.dir = spark, sf_dir
 
     def __call__(self, name: str) -> DataFrame:

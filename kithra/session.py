@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,26 @@ def local_session(cores: str | int = 8, app: str = "kithra", **conf) -> SparkSes
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="kithra-"), "kithra.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(home):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(home)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
