@@ -25,6 +25,7 @@ from .blockjoin import grid
 from .ordinal import with_ordinal
 
 BUCKET_ROWS = 4096  # rows of one token or band that one task may pair up
+SHARED = 3  # common rare words a candidate pair must show
 PRIME = (1 << 31) - 1  # fixed value: modulus of the MinHash permutations
 MIN_WORDS = 3  # fixed value: texts of at most this many words are not indexed
 
@@ -72,9 +73,14 @@ def numbered_sets(sets: DataFrame, numbers: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ exact set join
 
 def _prefix(sets: DataFrame, threshold: float) -> DataFrame:
-    """Two sets above the threshold share a word among each one's rarest few."""
+    """Each set's rarest words.
+
+    A pair above the threshold shares at least one of the first
+    n − ⌈t·n⌉ + 1 words of both sets, and one more for every word the prefix is
+    made longer.
+    """
     unshared = F.col("size") - F.size("ids")
-    length = F.col("size") - F.ceil(F.col("size") * threshold).cast("int") + 1 - unshared
+    length = F.col("size") - F.ceil(F.col("size") * threshold).cast("int") + SHARED - unshared
     head = F.slice("ids", F.lit(1), F.greatest(F.least(length, F.size("ids")), F.lit(0)))
     return sets.select("set_id", "size", unshared.alias("_u"), F.posexplode(head).alias("_p", "word_id")).select(
         "set_id", "size", (F.col("_p") + F.col("_u")).alias("pos"), "word_id")
@@ -107,11 +113,13 @@ def jaccard_sets_join(left: DataFrame, right: DataFrame | None, threshold: float
     need = F.floor((F.col("na") + F.col("nb")) * threshold / (1 + threshold))
     reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     joined = lp.join(rp, ["word_id", "_lb", "_rb"]).filter(
-        (F.col("nb") >= F.col("na") * threshold) & (F.col("na") >= F.col("nb") * threshold))
+        (F.col("nb") >= F.col("na") * threshold) & (F.col("na") >= F.col("nb") * threshold)
+        & (reach >= need - (SHARED - 1)))
     joined = joined.filter(F.col("a") < F.col("b")) if own else joined
-    # the earliest common word of a pair has the largest reach
-    pairs = joined.groupBy("a", "b").agg(F.max(reach).alias("reach"), F.max(need).alias("need"))
-    pairs = pairs.filter(F.col("reach") >= F.col("need")).select("a", "b")
+    # the first common word can still reach the whole overlap; small sets share fewer words
+    pairs = joined.groupBy("a", "b").agg(F.max(reach).alias("reach"), F.max(need).alias("need"), F.count("*").alias("seen"))
+    few = F.least(F.lit(SHARED), F.greatest(F.col("need"), F.lit(1)))
+    pairs = pairs.filter((F.col("reach") >= F.col("need")) & (F.col("seen") >= few)).select("a", "b")
     return _verified(pairs, left, other, threshold)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,9 @@ class Tables:
         self.spark, self.dir = spark, sf_dir
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir.rstrip('/')}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir.rstrip('/')}/{name}.parquet")
+        # texts are expensive per row: one file must not keep the other cores idle
+        return spread(df) if name in ("documents", "pages", "conversations") else df
 
     @property
     def vectors(self) -> DataFrame:
