@@ -52,6 +52,11 @@ class Metric:
     dtype = np.float64
     similarity = False
 
+    def check(self, q, b):
+        """Both sides must have one dimension."""
+        if q.shape[1] != b.shape[1]:
+            raise ValueError(f"queries and base must share one dimension, got {q.shape[1]} and {b.shape[1]}")
+
     def block(self, q, b):
         """Key matrix of a block and the bound of its rounding error."""
         raise NotImplementedError
@@ -159,6 +164,10 @@ class AsymmetricCode(Metric):
     def __init__(self, codebooks):
         self.codebooks = codebooks
 
+    def check(self, q, codes):
+        if codes.shape[1] != len(self.codebooks):
+            raise ValueError(f"codes of {codes.shape[1]} parts for {len(self.codebooks)} codebooks")
+
     def tables(self, q):
         out = []
         for start, words in self.codebooks:
@@ -238,39 +247,49 @@ _METRICS = {
 
 
 class TopK:
-    """Best k (key, id) per query row over any number of base blocks."""
+    """Best k (key, id) per query row over any number of base blocks.
+
+    Kept as rows × k tables filled from the left; free slots have an infinite key.
+    """
 
     def __init__(self, rows: int, k: int):
         self.k = k
-        self.kth = np.full(rows, np.inf)
-        self.qi = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int64)
-        self.key = np.empty(0)
-
-    def push(self, qi, ids, key):
-        qi = np.concatenate([self.qi, qi])
-        ids = np.concatenate([self.ids, ids])
-        key = np.concatenate([self.key, key])
-        order = np.lexsort((ids, key, qi))
-        qi, ids, key = qi[order], ids[order], key[order]
-        starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]]) if len(qi) else np.empty(0, np.int64)
-        place = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
-        keep = place < self.k
-        full = place == self.k - 1
-        self.kth[qi[full]] = key[full]
-        self.qi, self.ids, self.key = qi[keep], ids[keep], key[keep]
+        self.keys = np.full((rows, k), np.inf)
+        self.slots = np.zeros((rows, k), np.int64)
 
     def scan(self, metric: Metric, q, b, ids):
+        metric.check(q, b)
         step = max(1, CELLS // max(1, len(b)))
         for lo in range(0, len(q), step):
             part = q[lo:lo + step]
             key, slack = metric.block(part, b)
-            bound = self.kth[lo:lo + step]
-            if len(b) > self.k:
+            bound = self.keys[lo:lo + step, -1]
+            if len(b) > self.k and not np.isfinite(bound).all():
                 bound = np.minimum(bound, np.partition(key, self.k - 1, axis=1)[:, self.k - 1])
             qi, bj = np.nonzero((key <= (bound + slack)[:, None]) & (key < np.inf))
-            exact = metric.pairs(part, b, qi, bj) if slack else key[qi, bj]
-            self.push(qi + lo, ids[bj], exact)
+            if len(qi):
+                exact = metric.pairs(part, b, qi, bj) if slack else key[qi, bj]
+                self._merge(lo, len(part), qi, ids[bj], exact)
+
+    def _merge(self, lo, rows, qi, ids, key):
+        """Fold candidates into the rows lo … lo + rows; ties go to the lower id."""
+        held_row, held_slot = np.nonzero(np.isfinite(self.keys[lo:lo + rows]))
+        qi = np.concatenate([held_row, qi])
+        ids = np.concatenate([self.slots[lo:lo + rows][held_row, held_slot], ids])
+        key = np.concatenate([self.keys[lo:lo + rows][held_row, held_slot], key])
+        order = np.lexsort((ids, key, qi))
+        qi, ids, key = qi[order], ids[order], key[order]
+        starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
+        place = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
+        keep = place < self.k
+        qi, place = qi[keep] + lo, place[keep]
+        self.keys[qi, place] = key[keep]
+        self.slots[qi, place] = ids[keep]
+
+    def flat(self):
+        """(query rows, ids, keys) of the filled slots, in order."""
+        qi, slot = np.nonzero(np.isfinite(self.keys))
+        return qi, self.slots[qi, slot], self.keys[qi, slot]
 
 
 def within(metric: Metric, q, b, radius: float):
@@ -278,6 +297,7 @@ def within(metric: Metric, q, b, radius: float):
 
     Strictly below for distances, strictly above for similarities.
     """
+    metric.check(q, b)
     limit = -radius if metric.similarity else radius
     step = max(1, CELLS // max(1, len(b)))
     for lo in range(0, len(q), step):
@@ -293,8 +313,7 @@ def nearest(x, centroids, k: int = 1):
     """Row numbers and squared distances of the k nearest centroids per row."""
     best = TopK(len(x), min(k, len(centroids)))
     best.scan(SquaredL2(), x, centroids, np.arange(len(centroids)))
-    shape = (len(x), best.k)
-    return best.ids.reshape(shape), best.key.reshape(shape)
+    return best.slots, best.keys
 
 
 def assign_codes(x, codebooks):

@@ -23,8 +23,9 @@ from pyspark.sql.window import Window
 from ..functions import kernels
 
 BROADCAST_BYTES = 64 << 20
-QUERY_BLOCK = 1 << 15
+QUERY_BLOCK = 1 << 16
 BASE_BLOCK = 1 << 17
+TASKS_PER_CORE = 4
 GROUP_ROWS_BROADCAST = 1 << 20  # rows of (group, blocks) we let every task hold
 
 PAIR = "query_id long, id long, distance double"
@@ -41,14 +42,18 @@ def _pairs_table(qids, ids, key, metric) -> pa.Table:
 def bounded_rows(df: DataFrame, column: str, budget: int = BROADCAST_BYTES):
     """Row count of ``df`` if its vectors fit ``budget`` bytes, else None.
 
-    Reads at most one row more than the budget allows.
+    One job that reads no more rows than could fit.
     """
-    head = df.select(F.size(column)).first()
-    if head is None:
-        return 0
-    limit = max(1, budget // (8 * max(1, head[0]) + 8))
-    count = df.select(F.lit(1)).limit(limit + 1).count()
-    return count if count <= limit else None
+    limit = budget // 16 + 1
+    seen = df.select(F.size(column).alias("d")).limit(limit).agg(F.count("*").alias("n"), F.max("d").alias("d")).first()
+    size = seen["n"] * (8 * (seen["d"] or 0) + 8)
+    return seen["n"] if seen["n"] < limit and size <= budget else None
+
+
+def small_side(df: DataFrame, rows: int = GROUP_ROWS_BROADCAST) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` (narrow) rows; else leave it to be shuffled."""
+    df = df.persist()
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def top_k(pairs: DataFrame, k: int, similarity: bool = False) -> DataFrame:
@@ -115,9 +120,14 @@ def _broadcast_form(queries, base, metric, k, radius, query_vector, base_vector)
                 for qi, bj, key in kernels.within(metric, q, b, radius):
                     yield from _pairs_table(qids[qi], ids[bj], key, metric).to_batches()
         if k:
-            yield from _pairs_table(qids[best.qi], best.ids, best.key, metric).to_batches()
+            qi, ids, key = best.flat()
+            yield from _pairs_table(qids[qi], ids, key, metric).to_batches()
 
-    return base.select(F.col("id").cast("long"), F.col(base_vector).alias("v")).mapInArrow(scan, PAIR)
+    rows = base.select(F.col("id").cast("long"), F.col(base_vector).alias("v"))
+    if k:
+        # every task hands on k rows per query: a few tasks per core are enough of them
+        rows = rows.coalesce(TASKS_PER_CORE * queries.sparkSession.sparkContext.defaultParallelism)
+    return rows.mapInArrow(scan, PAIR)
 
 
 def block_counts(df: DataFrame, group: str, rows: int, name: str) -> DataFrame:
@@ -173,7 +183,8 @@ def _grid_form(queries, base, metric, k, radius, group, query_vector, base_vecto
             best = kernels.TopK(len(q), k)
             for lo in range(0, len(b), 8192):
                 best.scan(metric, q, b[lo:lo + 8192], ids[lo:lo + 8192])
-            return _pairs_table(qids[best.qi], best.ids, best.key, metric)
+            qi, found, key = best.flat()
+            return _pairs_table(qids[qi], found, key, metric)
         parts = [
             _pairs_table(qids[qi], ids[bj], found, metric)
             for qi, bj, found in kernels.within(metric, q, b, radius)

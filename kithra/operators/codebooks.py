@@ -16,14 +16,29 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
 from ..functions.arrowmap import with_arrow_column
-from ..functions.hashing import keyed_hash
+from ..functions.hashing import HASH_RANGE, keyed_hash
 
 MODEL_BYTES = 256 << 20  # largest model shared with every task
 
 
+def first_by_hash(df: DataFrame, n: int, seed: int = 0, key: str = "id") -> DataFrame:
+    """The ``n`` rows that come first in the seeded hash order of ``key``.
+
+    Hashes are uniform, so rows far behind the n-th can be dropped before the
+    sort: it sees about n rows instead of n per partition.
+    """
+    total = df.count()
+    if n < total:
+        cut = int(HASH_RANGE * min(1.0, (n + 8 * n**0.5 + 64) / total))
+        near = df.filter(keyed_hash(key, seed=seed) < cut)
+        if cut < HASH_RANGE and near.count() >= n:  # skewed or repeated keys may leave too few
+            df = near
+    return df.orderBy(keyed_hash(key, seed=seed), key).limit(n)
+
+
 def sample_for_training(df: DataFrame, n: int, seed: int = 0, key: str = "id") -> DataFrame:
     """``n`` rows in a random order that depends on the id only."""
-    return df.orderBy(keyed_hash(key, seed=seed), key).limit(n)
+    return first_by_hash(df, n, seed, key)
 
 
 def suggest_nlist(n: int) -> int:
@@ -121,13 +136,12 @@ class Codebook:
 def initial_words(df: DataFrame, k: int, init="hash", seed: int = 0, key: str = "id") -> np.ndarray:
     """``k`` starting vectors: the lowest ids (``first``) or a seeded choice (``hash``)."""
     if init == "first":
-        order = [F.col(key)]
+        chosen = df.orderBy(key).limit(k)
     elif init == "hash":
-        order = [keyed_hash(key, seed=seed), F.col(key)]
+        chosen = first_by_hash(df, k, seed, key)
     else:
         raise ValueError("init must be 'first', 'hash' or an array")
-    rows = df.orderBy(*order).limit(k).select(arrays.doubles("vector").alias("v")).toArrow()
-    return kernels.matrix(rows["v"])
+    return kernels.matrix(chosen.select(arrays.doubles("vector").alias("v")).toArrow()["v"])
 
 
 def fit_codebook(df: DataFrame, m: int = 1, k: int = 256, iterations: int = 20, init="hash", seed: int = 0, key: str = "id") -> Codebook:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, kernels
 from ..functions.arrowmap import with_arrow_column
 from ..session import materialize
-from .blockjoin import search
+from .blockjoin import search, small_side
 from .codebooks import Codebook, fit_codebook
 from .linear import Linear, column_of, gram_rows, matrix_of, random_rotation, vector_stats
 
@@ -49,8 +49,9 @@ class ScalarQuantizer:
 
         def code(x, i):
             lo, hi = F.get(low, i), F.get(high, i)
-            level = F.least(F.floor((x - lo) / F.when(hi > lo, hi - lo) * steps), F.lit(steps - 1))
-            return F.greatest(F.coalesce(level, F.lit(0)), F.lit(0)).cast("int")
+            # a dimension without spread has one level
+            level = F.coalesce(F.floor((x - lo) / F.when(hi > lo, hi - lo) * steps), F.lit(0))
+            return F.greatest(F.least(level, F.lit(steps - 1)), F.lit(0)).cast("int")
 
         return df.withColumn(codes, F.transform(arrays.doubles(vector), code))
 
@@ -466,7 +467,7 @@ def refine_codes(found, queries, coded2, centroids, first: Codebook, second: Cod
     """
     from .knn import refine
 
-    wanted = found.select("id").distinct()
+    wanted = small_side(found.select("id").distinct())
     rows = coded2.join(wanted, "id", "left_semi")
     rows = second.decode(first.decode(rows, "codes", "_a"), "codes2", "_b")
     centres = Codebook([0], [np.asarray(centroids, float)]).to_rows(rows.sparkSession).select(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
 from . import codecs, ivf, knn
-from .blockjoin import block_join, search
+from .blockjoin import block_join, search, small_side
 from .codebooks import Codebook, assign
 from .linear import Chain, L2Norm, Linear, Pad, Remap
 from .ordinal import with_ordinal
@@ -141,7 +141,8 @@ class VectorIndex:
         """Remove the ids of a table, or the rows a boolean column selects; other ids stay."""
         if isinstance(ids, Column):
             return self._with(knn.remove_where(self.postings, ids))
-        return self._with(self.postings.join(ids.select("id").distinct(), "id", "left_anti").select(*self._columns()))
+        gone = small_side(ids.select("id").distinct())
+        return self._with(self.postings.join(gone, "id", "left_anti").select(*self._columns()))
 
     def remove_sequential(self, ids: DataFrame | Column) -> "VectorIndex":
         """The same where ids are positions: later ids move down."""
@@ -165,7 +166,7 @@ class VectorIndex:
     def reconstruct(self, ids: DataFrame) -> DataFrame:
         """``(id, vector)`` as stored (decoded, in the transformed space); a missing id is an error."""
         self._require(ids)
-        wanted = self.postings.join(ids.select("id").distinct(), "id", "left_semi")
+        wanted = self.postings.join(small_side(ids.select("id").distinct()), "id", "left_semi")
         return self._decoded(wanted).select("id", "vector")
 
     def _decoded(self, postings: DataFrame, second: bool = True) -> DataFrame:
@@ -255,7 +256,7 @@ class VectorIndex:
             return search(coded, self.postings, k, "hamming", base_vector="codes", **options)
         if self.second:
             first = replace(self, second=None).search(queries, k * k_factor, nprobe, **options)
-            found = self.postings.join(first.select("id").distinct(), "id", "left_semi")
+            found = self.postings.join(small_side(first.select("id").distinct()), "id", "left_semi")
             return knn.refine(first, asked, self._decoded(found).select("id", "vector"), k, kernel)
         if group:
             asked = self._probe(asked, nprobe)

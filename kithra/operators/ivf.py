@@ -29,7 +29,7 @@ def probe(queries: DataFrame, centroids: np.ndarray, nprobe: int, metric="l2") -
     def cells(v: pa.Array) -> pa.Array:
         best = kernels.TopK(len(v), count)
         best.scan(kernel, kernels.matrix(v), centroids, np.arange(len(centroids)))
-        return kernels.list_array(best.ids.reshape(len(v), count).astype(np.int32), pa.int32())
+        return kernels.list_array(best.slots.astype(np.int32), pa.int32())
 
     rows = queries.select("query_id", arrays.doubles("vector").alias("vector"))
     rows = with_arrow_column(rows, "cells", "array<int>", "vector", cells)
@@ -149,7 +149,7 @@ def hamming_cells(rows: DataFrame, centroids: DataFrame, key: str, nprobe: int,
     def cells(v: pa.Array) -> pa.Array:
         best = kernels.TopK(len(v), count)
         best.scan(kernels.Hamming(), kernels.matrix(v, np.int64), words, ids)
-        return kernels.list_array(best.ids.reshape(len(v), count).astype(np.int32), pa.int32())
+        return kernels.list_array(best.slots.astype(np.int32), pa.int32())
 
     return with_arrow_column(rows, out, "array<int>", "vector", cells).withColumn(out, F.explode(out))
 

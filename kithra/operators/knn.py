@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import arrays, distances
 from ..functions.hashing import keyed_hash
-from .blockjoin import block_join, search, top_k
+from .blockjoin import block_join, search, small_side, top_k
 
 # metrics computed as another metric on prepared vectors
 _NORMALIZED = ("cosine", "angular")
@@ -99,13 +99,14 @@ def mutual_nn(a: DataFrame, b: DataFrame, metric="l2", **options) -> DataFrame:
 def refine(result: DataFrame, queries: DataFrame, base: DataFrame, k: int, metric="l2") -> DataFrame:
     """Recompute true distances of an approximate result and keep the best k.
 
-    Carries ids until the very end; vectors are joined for the surviving rows only.
+    Carries ids until the very end; vectors are joined for the surviving rows
+    only, and the base is not shuffled when the candidates can be broadcast.
     """
     dist = distances.DISTANCES[metric](F.col("_q"), F.col("_b"))
     scored = (
-        result.select("query_id", "id")
+        base.select("id", F.col("vector").alias("_b"))
+        .join(small_side(result.select("query_id", "id")), "id")
         .join(queries.select("query_id", F.col("vector").alias("_q")), "query_id")
-        .join(base.select("id", F.col("vector").alias("_b")), "id")
         .select("query_id", "id", dist.alias("distance"))
     )
     return top_k(scored, k, is_similarity(metric))
@@ -122,7 +123,7 @@ def merge_topk(k: int, *results: DataFrame, metric="l2") -> DataFrame:
 def search_by_id(ids: DataFrame, base: DataFrame, k: int, metric="l2", **options) -> DataFrame:
     """Neighbours of stored rows; an unknown id keeps one row with nulls."""
     known = ids.select("id").distinct()
-    vectors = known.join(base.select("id", "vector"), "id")
+    vectors = base.select("id", "vector").join(small_side(known), "id")
     found = knn_join(as_queries(vectors), base, k, metric, **options)
     return known.select(F.col("id").alias("query_id")).join(found, "query_id", "left")
 
@@ -159,8 +160,13 @@ def pair_similarity(left: DataFrame, right: DataFrame, on: str = "pair_id", metr
 
 
 def attach_attributes(result: DataFrame, items: DataFrame, on: str = "id") -> DataFrame:
-    """Neighbour id → item columns; the rank column keeps the order."""
-    return result.join(items, on, "left")
+    """Neighbour id → item columns; the rank column keeps the order.
+
+    The items are cut down to the wanted ones first, so that a large item table
+    is not shuffled for a small result.
+    """
+    wanted = items.join(small_side(result.select(on).distinct()), on, "left_semi")
+    return result.join(wanted, on, "left")
 
 
 def eval_intersection(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import keyed_hash, keyed_uniform
 from ..functions.strings import word_count
+from .codebooks import first_by_hash
 from .ordinal import with_ordinal
 from .skew import lookup_join
 
@@ -61,7 +62,7 @@ def split_within_class(df: DataFrame, ratio: float, minimum: int = 1, label: str
 
 def sample_lines(df: DataFrame, n: int, seed: int = 0, key: str = "id", text: str = "text") -> DataFrame:
     """``n`` lines in random order; of those, the ones with more than one word."""
-    return shuffle(df, seed, key).limit(n).filter(word_count(text) > 1)
+    return first_by_hash(df, n, seed, key).filter(word_count(text) > 1)
 
 
 def batch(df: DataFrame, size: int, order: list, wrap: int | None = None) -> DataFrame:

@@ -155,12 +155,12 @@ def semantic_search(queries: DataFrame, items: DataFrame, n: int = 4, encoder="h
 
     ``queries`` is ``(query_id, text)``, ``items`` is ``(id, text)``.
     """
-    from .knn import knn_join
+    from .knn import attach_attributes, knn_join
 
     asked = encode_texts(queries, encoder, key="query_id", **options)
     stored = encode_texts(items, encoder, key="id", **options)
     found = knn_join(asked, stored, n, "cosine")
-    return found.join(items.select("id", "text"), "id").select(
+    return attach_attributes(found, items.select("id", "text")).select(
         "query_id", "rank", "id", "text", F.round("distance", 3).alias("score"))
 
 

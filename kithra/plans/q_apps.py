@@ -125,7 +125,7 @@ def _(t: Tables):
 # ------------------------------------------------------------------- boxes
 
 BOX = (
-    "box AS (SELECT l_orderkey AS image_id, l_linenumber + 100 * l_suppkey + 100000 * l_partkey AS box_id, (l_partkey % 40)::DOUBLE - 5 AS x1, (l_suppkey % 30)::DOUBLE - 4 AS y1,"
+    "box AS (SELECT l_orderkey AS image_id, 100 * (l_linenumber + 100 * l_suppkey + 100000 * l_partkey) + l_quantity::BIGINT AS box_id, (l_partkey % 40)::DOUBLE - 5 AS x1, (l_suppkey % 30)::DOUBLE - 4 AS y1,"
     " (l_partkey % 40)::DOUBLE + 5 + l_quantity AS x2, (l_suppkey % 30)::DOUBLE + 8 + l_quantity / 2 AS y2, l_discount * 10 AS score,"
     " l_tax AS dx1, l_discount AS dy1, l_tax * 2 AS dx2, l_discount * 2 AS dy2 FROM lineitem)"
 )
@@ -135,7 +135,7 @@ def boxes(t: Tables):
     c = F.col
     x, y = (c("l_partkey") % 40).cast("double"), (c("l_suppkey") % 30).cast("double")
     return t("lineitem").select(
-        c("l_orderkey").alias("image_id"), (c("l_linenumber") + 100 * c("l_suppkey") + 100000 * c("l_partkey")).alias("box_id"),
+        c("l_orderkey").alias("image_id"), (100 * (c("l_linenumber") + 100 * c("l_suppkey") + 100000 * c("l_partkey")) + c("l_quantity").cast("long")).alias("box_id"),
         (x - 5).alias("x1"), (y - 4).alias("y1"), (x + 5 + c("l_quantity")).alias("x2"), (y + 8 + c("l_quantity") / 2).alias("y2"),
         (c("l_discount") * 10).alias("score"), c("l_tax").alias("dx1"), c("l_discount").alias("dy1"),
         (c("l_tax") * 2).alias("dx2"), (c("l_discount") * 2).alias("dy2"))

@@ -58,14 +58,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own; on a cluster a
     machine-local folder would be lost with the executor that wrote it.
     """
-    path = spark.conf.get(CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a shared folder")
-        path = tempfile.mkdtemp(prefix="kithra-checkpoint-")
-        spark.conf.set(CHECKPOINT_KEY, path)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kithra-checkpoint-"))
+        path = context.getCheckpointDir()
     return path.rstrip("/")
 
 
