@@ -12,7 +12,7 @@ from ..operators.codebooks import Codebook
 from ..session import scratch_path
 from ..streaming import index_stream
 from .q_cells import CENTRES, _assign_sql, _probe_sql, centres
-from .q_search import scaled
+from .q_search import SCALED, UNITS, scaled
 from .registry import Tables, query
 from .snippets import VECTORS, l2, knn as knn_sql, top
 from .spec import train_index
@@ -203,18 +203,21 @@ def _(t: Tables):
 
 # ------------------------------------------- configuration strings, by rows
 
-def _register_spec(name, text, metric="l2"):
-    @query(f"spec_{name}")
+UNIT_KNN = knn_sql(l2("a.v", "b.v"), 5, ctes=f"{SCALED}, {UNITS}", q="uvec", b="uvec")
+
+
+def _register_spec(name, text, metric="l2", sql=None):
+    @query(f"spec_{name}", sql)
     def _(t: Tables):
         rows = scaled(t.vectors, "id")
         index = train_index(text, rows, metric, iterations=3).add_with_ids(rows)
         return index.search(scaled(t.queries, "query_id"), 5, nprobe=4)
 
 
-for _name, _text, _metric in (
+for _name, _text, _metric, *_sql in (
     ("pcar_ivf_sq8", "PCAR16,IVF16,SQ8", "l2"),
     ("opq_ivf_pq", "OPQ8_32,IVF8,PQ8x4", "l2"),
-    ("l2norm_flat", "IDMap,L2norm,Flat", "l2"),
+    ("l2norm_flat", "IDMap,L2norm,Flat", "l2", UNIT_KNN),
     ("pcaw_flat", "PCAW8,Flat", "l2"),
     ("rr_sqfp16", "RR48,SQfp16", "ip"),
     ("pad_pq_refined", "Pad72,PQ8x4+8", "l2"),
@@ -224,7 +227,7 @@ for _name, _text, _metric in (
     ("lsh_rotated_trained", "LSHrt", "l2"),
     ("ivf_sq4_cosine", "IVF8,SQ4", "cosine"),
 ):
-    _register_spec(_name, _text, _metric)
+    _register_spec(_name, _text, _metric, *_sql)
 
 
 @query("spec_ivf_flat_all_cells", knn_sql(l2("a.v", "b.v"), 5))

@@ -256,3 +256,19 @@ def _(t: Tables):
 def _(t: Tables):
     code = arrays.sign_code("vector")
     return knn.range_join(t.queries.withColumn("vector", code), t.vectors.withColumn("vector", code), 20, "hamming")
+
+
+@query("method_pairs", f"WITH {VECTORS}, cand AS ({_self_pairs(4)}) SELECT query_id AS i, id AS j FROM cand WHERE query_id <> id")
+def _(t: Tables):
+    from ..operators.methods import method_named
+
+    return method_named("Vector").create_pairs(t.vectors, k=4)
+
+
+@query("knn_join_mahalanobis")
+def _(t: Tables):
+    """l2 after whitening with the inverse Cholesky factor of the covariance."""
+    from ..operators.linear import MahalanobisWhiten
+
+    model = MahalanobisWhiten().fit(scaled(t.vectors, "id"))
+    return knn.knn_join(model.transform(scaled(t.queries, "query_id")), model.transform(scaled(t.vectors, "id")), K)
