@@ -85,8 +85,8 @@ def pad(v, dim: int) -> Column:
 
 def remap(v, positions) -> Column:
     """Pick components by position; a position below 0 gives 0."""
-    v = doubles(v)
-    return F.array(*[F.lit(ZERO) if p < 0 else F.element_at(v, int(p) + 1) for p in positions])
+    return bind(doubles(v), lambda w: F.array(
+        *[F.lit(ZERO) if p < 0 else F.element_at(w, int(p) + 1) for p in positions]))
 
 
 def affine(v, matrix, bias=None) -> Column:
@@ -117,31 +117,34 @@ def binarize(v, thresholds=None) -> Column:
 
 def pack_words(bits, word: int = 32) -> Column:
     """0/1 array → array<long> of ``word``-bit words, first bit lowest."""
-    bits = col(bits)
-    words = F.ceil(F.size(bits) / F.lit(word)).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), words - 1),
-        lambda w: F.aggregate(
-            F.transform(
-                F.slice(bits, w * word + 1, F.lit(word)),
-                lambda b, i: F.call_function("shiftleft", b.cast("long"), i),
+
+    def packed(held):
+        words = F.ceil(F.size(held) / F.lit(word)).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), words - 1),
+            lambda w: F.aggregate(
+                F.transform(
+                    F.slice(held, w * word + 1, F.lit(word)),
+                    lambda b, i: F.call_function("shiftleft", b.cast("long"), i),
+                ),
+                F.lit(0).cast("long"),
+                lambda s, x: s + x,
             ),
-            F.lit(0).cast("long"),
-            lambda s, x: s + x,
-        ),
-    )
+        )
+
+    return bind(col(bits), packed)
 
 
 def pack_bits(bits) -> Column:
     """0/1 array → bytes, big-endian inside each byte, zero-filled at the end."""
-    bits = col(bits)
-    count = F.ceil(F.size(bits) / F.lit(8)).cast("int")
-    text = F.rpad(F.array_join(bits.cast("array<string>"), ""), count * 8, "0")
-    pairs = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.lpad(F.conv(F.substring(text, i * 8 + 1, F.lit(8)), 2, 16), 2, "0"),
-    )
-    return F.unhex(F.array_join(pairs, ""))
+
+    def packed(text):
+        return F.transform(
+            F.sequence(F.lit(0), F.ceil(F.length(text) / 8).cast("int") - 1),
+            lambda i: F.lpad(F.conv(F.rpad(F.substring(text, i * 8 + 1, F.lit(8)), 8, "0"), 2, 16), 2, "0"),
+        )
+
+    return F.unhex(F.array_join(bind(F.array_join(col(bits).cast("array<string>"), ""), packed), ""))
 
 
 def sign_code(v) -> Column:
@@ -167,11 +170,13 @@ def slice_bounds(dim: int, m: int) -> list[tuple[int, int]]:
 
 def reshape(values, dim: int) -> Column:
     """Flat array → array of consecutive ``dim``-vectors."""
-    values = col(values)
-    rows = F.floor(F.size(values) / F.lit(dim)).cast("int")
-    return F.when(rows > 0, F.transform(
-        F.sequence(F.lit(0), rows - 1), lambda i: F.slice(values, i * dim + 1, F.lit(dim))
-    )).otherwise(F.array().cast("array<array<double>>"))
+
+    def cut(held):
+        rows = F.floor(F.size(held) / F.lit(dim)).cast("int")
+        pieces = F.transform(F.sequence(F.lit(1), F.greatest(rows, F.lit(1))), lambda i: F.slice(held, (i - 1) * dim + 1, F.lit(dim)))
+        return F.slice(pieces, F.lit(1), rows)
+
+    return bind(col(values), cut)
 
 
 def rounded(v, digits: int = 6) -> Column:

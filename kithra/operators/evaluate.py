@@ -122,7 +122,7 @@ def _fold_counts(pairs: DataFrame, thresholds: list[float], folds: int, metric:
     else:
         every = rows.select("pair_id", "fold", "issame", dist(F.col("a"), F.col("b")).alias("dist"))
     table = arrays.constant_vector(thresholds)
-    slot = F.size(F.filter(table, lambda t: t <= F.col("dist"))).alias("slot")
+    slot = arrays.bind(F.col("dist"), lambda d: F.size(F.filter(table, lambda t: t <= d))).alias("slot")
     keys = (["model"] if subtract_mean else []) + ["fold", slot]
     counts = every.groupBy(*keys).agg(
         F.sum(F.col("issame").cast("long")).alias("same"), F.sum((~F.col("issame")).cast("long")).alias("diff"))

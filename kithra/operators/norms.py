@@ -39,10 +39,13 @@ class NormCodec:
     def encode_norm(self, ratio: Column) -> Column:
         if self.centres:
             table = arrays.constant_vector(self.centres)
-            best = F.array_min(F.transform(table, lambda c, i: F.struct(F.abs(ratio - c).alias("d"), i.alias("i"))))
-            return best["i"].cast("int")
+
+            def nearest(r):
+                return F.array_min(F.transform(table, lambda c, i: F.struct(F.abs(r - c).alias("d"), i.alias("i"))))
+
+            return arrays.bind(ratio, nearest)["i"].cast("int")
         inner = arrays.constant_vector(self.edges[1:-1])
-        return F.aggregate(inner, F.lit(0), lambda s, e: s + (ratio >= e).cast("int"))
+        return arrays.bind(ratio, lambda r: F.aggregate(inner, F.lit(0), lambda s, e: s + (r >= e).cast("int")))
 
     def decode_norm(self, code: Column) -> Column:
         if self.centres:
