@@ -135,11 +135,13 @@ def _fold_counts(pairs: DataFrame, thresholds: list[float], folds: int, metric:
 
 def _curves(counts: DataFrame, thresholds: list[float], folds: int) -> DataFrame:
     """Accepted pairs below every threshold per (model, part): folds × 2 × thresholds rows."""
-    spark = counts.sparkSession
     n = len(thresholds)
-    slots = spark.createDataFrame([(i, float(t)) for i, t in enumerate(thresholds)] + [(n, None)], "slot int, threshold double")
-    parts = spark.createDataFrame([(m, b) for m in range(folds) for b in (True, False)], "model int, test boolean")
-    full = parts.join(F.broadcast(slots)).join(counts, ["model", "test", "slot"], "left").fillna(0, ["same", "diff"])
+    cells = [
+        (m, test, i, float(thresholds[i]) if i < n else None)
+        for m in range(folds) for test in (True, False) for i in range(n + 1)
+    ]
+    table = counts.sparkSession.createDataFrame(cells, "model int, test boolean, slot int, threshold double")
+    full = table.join(counts, ["model", "test", "slot"], "left").fillna(0, ["same", "diff"])
     run = Window.partitionBy("model", "test").orderBy("slot")
     every = Window.partitionBy("model", "test")
     return full.select(

@@ -83,20 +83,15 @@ class VectorIndex:
             out = assign(rows, self.coarse.centroids, distance=None)
         return out.withColumn("list_id", F.col("list_id").cast("long"))
 
-    def _centres(self) -> DataFrame:
-        """``(list_id, _centre)`` of every cell."""
+    def _with_centre(self, rows: DataFrame) -> DataFrame:
+        """Adds ``_centre``, the centroid of the row's cell."""
         book = self.coarse
         if book.m == 1:
-            return book.to_rows(self.spark).select(F.col("code").cast("long").alias("list_id"), F.col("word").alias("_centre"))
-        rows = book.to_rows(self.spark)
-        out = None
-        for m in range(book.m):
-            part = rows.filter(F.col("component") == m).select(F.col("code").cast("long").alias(f"c{m}"), F.col("word").alias(f"w{m}"))
-            out = part if out is None else out.crossJoin(part)  # every cell of the model, not of the data
-        number = F.lit(0).cast("long")
-        for m in range(book.m):
-            number = number * book.ks + F.col(f"c{m}")
-        return out.select(number.alias("list_id"), F.concat(*[F.col(f"w{m}") for m in range(book.m)]).alias("_centre"))
+            table = book.to_rows(self.spark).select(F.col("code").cast("long").alias("list_id"), F.col("word").alias("_centre"))
+            return rows.join(F.broadcast(table), "list_id")  # a model of checked size
+        # the cell number is the codes of its segments, written in base ks
+        digits = [F.floor(F.col("list_id") / book.ks ** (book.m - 1 - m)) % book.ks for m in range(book.m)]
+        return book.decode(rows.withColumn("_cell", F.array(*[d.cast("int") for d in digits])), "_cell", "_centre").drop("_cell")
 
     def _prepare(self, rows: DataFrame) -> DataFrame:
         rows = rows.select(*[c for c in ("id", "query_id") if c in rows.columns], arrays.doubles("vector").alias("vector"))
@@ -111,7 +106,7 @@ class VectorIndex:
         if self.codec is None:
             return rows.select(*self._columns())
         if self.by_residual:
-            rows = rows.join(F.broadcast(self._centres()), "list_id").withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
+            rows = self._with_centre(rows).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
         rows = self.codec.encode(rows, "vector", "codes")
         if self.second:
             rows = self.codec.decode(rows, "codes", "_known")
@@ -178,7 +173,7 @@ class VectorIndex:
         if self.second and second:
             rows = self.second.decode(rows, "codes2", "_more").withColumn("vector", arrays.add("vector", "_more")).drop("_more")
         if self.by_residual:
-            rows = rows.join(F.broadcast(self._centres()), "list_id").withColumn("vector", arrays.add("vector", "_centre")).drop("_centre")
+            rows = self._with_centre(rows).withColumn("vector", arrays.add("vector", "_centre")).drop("_centre")
         return rows
 
     def merge(self, other: "VectorIndex", id_offset: int = 0) -> "VectorIndex":
@@ -262,8 +257,7 @@ class VectorIndex:
             asked = self._probe(asked, nprobe)
         if isinstance(self.codec, Codebook) and self.metric == "l2":
             if self.by_residual:
-                asked = asked.join(F.broadcast(self._centres()), "list_id").withColumn(
-                    "vector", arrays.subtract("vector", "_centre")).drop("_centre")
+                asked = self._with_centre(asked).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
             metric = kernels.AsymmetricCode(self.codec.parts)
             return search(asked, self.postings, k, metric, group=group, base_vector="codes", **options)
         return search(asked, self._decoded(self.postings), k, kernel, group=group, **options)

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
-from ..functions import arrays
 from ..operators import index as ix
 from ..operators.codebooks import Codebook
 from ..session import scratch_path
@@ -71,8 +68,8 @@ NEW = "upd AS (SELECT a.id, CASE WHEN a.id % 3 = 0 THEN b.v ELSE a.v END AS v FR
 
 def _changed(t: Tables):
     """Every third id takes the vector of its mirror image in the id order."""
-    last = t.vectors.agg(F.max("id").alias("last"))
-    mirrored = t.vectors.join(F.broadcast(last)).select((F.col("last") - F.col("id")).alias("id"), "vector")
+    last = t.vectors.agg(F.max("id")).first()[0]
+    mirrored = t.vectors.select((F.lit(last) - F.col("id")).alias("id"), "vector")
     return mirrored.filter("id % 3 = 0")
 
 

@@ -131,7 +131,7 @@ def train_index(text: str, train: DataFrame, metric: str = "l2", iterations: int
     if kind[0] == "Flat":
         return index
     if index.coarse is not None:
-        found = index._cells(rows).join(F.broadcast(index._centres()), "list_id")
+        found = index._with_centre(index._cells(rows))
         rows = materialize(found.select("id", arrays.subtract("vector", "_centre").alias("vector")), "train")
     if kind[0] == "SQ":
         codec = codecs.ScalarQuantizer(kind[1]).fit(rows)
