@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,10 +47,14 @@ def quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[fl
     if n == 0:
         raise ValueError("no values")
     ranks = sorted({r for p in probabilities for r in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))})
-    ordered = _running_counts(counts)
-    wanted = df.sparkSession.createDataFrame([(int(r),) for r in ranks], "rank long")
+    ordered, starts = _running_counts(counts)
+    # a rank is looked for in the one partition that holds it
+    first = [offset for _, offset in starts]
+    wanted = [(starts[bisect_right(first, r) - 1][0], int(r)) for r in ranks]
+    table = df.sparkSession.createDataFrame(wanted, "_part int, rank long")
     hits = (
-        ordered.join(F.broadcast(wanted), (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+        ordered.join(F.broadcast(table), "_part")
+        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
         .select("rank", "x").collect()
     )
     at = {h["rank"]: h["x"] for h in hits}
@@ -61,20 +67,21 @@ def quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[fl
     return out
 
 
-def _running_counts(counts: DataFrame) -> DataFrame:
-    """Rows of (x, n) with ``before`` = number of smaller values."""
+def _running_counts(counts: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Rows of (x, n) with ``_part`` and ``before`` = number of smaller values, and where each partition starts."""
     parts = materialize(counts.repartitionByRange("x").withColumn("_part", F.spark_partition_id()), "running")
-    sizes = parts.groupBy("_part").agg(F.sum("n").alias("_n")).collect()
+    sizes = parts.groupBy("_part").agg(F.sum("n").alias("_n")).collect()  # one row per partition
     offsets, total = [], 0
     for row in sorted(sizes, key=lambda r: r["_part"]):
         offsets.append((row["_part"], total))
         total += row["_n"]
     table = counts.sparkSession.createDataFrame(offsets, "_part int, _offset long")
     window = Window.partitionBy("_part").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.join(F.broadcast(table), "_part").select(
-        "x", "n", (F.col("_offset") + F.coalesce(F.sum("n").over(window), F.lit(0))).alias("before"))
+    ordered = parts.join(F.broadcast(table), "_part").select(
+        "_part", "x", "n", (F.col("_offset") + F.coalesce(F.sum("n").over(window), F.lit(0))).alias("before"))
+    return ordered, offsets
 
 
 def running_counts(counts: DataFrame) -> DataFrame:
-    """Public form of the running counts over (x, n) rows: adds ``before``."""
-    return _running_counts(counts)
+    """(x, n) rows with ``before``, the number of smaller values."""
+    return _running_counts(counts)[0].drop("_part")
