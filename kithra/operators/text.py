@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import arrays
 from ..functions.strings import normalize_question, words
 from . import skew
 from .ordinal import with_ordinal

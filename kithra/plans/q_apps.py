@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import arrays
 from ..operators import boxes as bx
 from ..operators import recommend, votes
-from ..operators.knn import as_queries
 from .q_cells import NLIST, centres
 from .q_search import SCALED, UNITS, scaled
 from .registry import Tables, query
-from .snippets import VECTORS, ip, knn as knn_sql, l2, norm, top
+from .snippets import VECTORS, ip, knn as knn_sql, l2, norm
 
 RATINGS = (
     "rat AS (SELECT o_custkey AS usr, l_partkey AS item, 1.0::DOUBLE + l_quantity % 5 AS rating FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"

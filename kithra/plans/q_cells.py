@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import arrays
-from ..operators import codebooks, ivf, knn
+from ..operators import codebooks, ivf
 from .q_search import BITS, SIGNS
 from .registry import Tables, query
-from .snippets import VECTORS, h, ip, knn as knn_sql, l2, top
+from .snippets import VECTORS, h, knn as knn_sql, l2, top
 
 NLIST = 10
 CENTRES = f"cen AS (SELECT id, v FROM vec WHERE id < {NLIST})"

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import arrays, kernels
-from ..operators import codebooks, codecs, ivf, knn, norms
+from ..functions import arrays
+from ..operators import codebooks, codecs, knn, norms
 from .q_cells import CENTRES, _assign_sql, _means, _probe_sql, centres
 from .q_search import SCALED, scaled
 from .q_vectors import CELLS, six
@@ -358,7 +358,7 @@ def _(t: Tables):
    FROM res JOIN w USING (parent)) WHERE r = 1""")
 def _(t: Tables):
     """Second level untrained: the starting words of every parent are its codebook."""
-    from ..operators.trees import Branches, TreeCodec, TreeQuantizer
+    from ..operators.trees import TreeCodec, TreeQuantizer
 
     shared = codebooks.fit_codebook(t.vectors, 1, 8, 1, "first")
     branches = TreeQuantizer(2, 8, 0)._fit_branches(t.vectors.withColumn("vector", arrays.doubles("vector")), shared, "id")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import arrays
-from ..operators import codebooks, evaluate, knn, splits
+from ..operators import evaluate, knn, splits
 from .q_search import SCALED, scaled
 from .registry import Tables, query
-from .snippets import VECTORS, each, h, ip, l2, top, u
+from .snippets import VECTORS, each, h, l2, top, u
 
 EXACT = f"truth AS ({top(f'''SELECT a.id AS query_id, b.id AS id, {l2('a.v', 'b.v')} AS distance FROM vec a, vec b''', 20)})"
 OTHER = f"other AS ({top(f'''SELECT a.id AS query_id, b.id AS id, {each('a.v', 'b.v', 'abs(z[1]-z[2])')} AS distance FROM vec a, svec b''', 64)})"

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, distances
 from ..operators import linear
-from ..sources import synthetic
 from .q_search import PROBS, SCALED, probabilities, scaled
 from .registry import Tables, query
-from .snippets import VECTORS, each, ip, l2, norm, u
+from .snippets import VECTORS, each, ip, l2, norm
 
 SIX = "list_transform({}, lambda x: round(x, 6))"
 
