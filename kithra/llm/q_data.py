@@ -1,9 +1,9 @@
-"""Queries: mixing and token files."""
+"""Queries: joins, mixing and token files."""
 
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import mixing, tokenfiles
+from . import mixing, ngramjoin, tokenfiles
 from .catalog import query, table
 
 
@@ -24,3 +24,8 @@ def op10_token_files(spark, sf_dir):
     path = scratch_path(spark, "token-files")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, word_tokenizer(), lower_words=True)
     return tokenfiles.read_checks(spark, path)
+
+
+@query("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return ngramjoin.ngram_jaccard_classes(table(spark, sf_dir, "documents"))
