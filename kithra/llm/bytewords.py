@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20  # texts are taken together up to about this size
+SLICE_BYTES = 1 << 18  # texts are taken together up to about this size; arrays of it stay in the cache
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

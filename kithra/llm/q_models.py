@@ -1,10 +1,10 @@
-"""Queries: nearest vectors and quality scores."""
+"""Queries: nearest vectors, decontamination and quality scores."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import quality, vptree
+from . import decontaminate, quality, vptree
 from .catalog import query, table
 
 OP2_SQL = """
@@ -33,3 +33,9 @@ def op9_quality_classifier(spark, sf_dir):
     scored = quality.score(docs, model)
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
