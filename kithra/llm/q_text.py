@@ -1,10 +1,10 @@
-"""Queries: secrets and repeated lines."""
+"""Queries: secrets, licenses and repeated lines."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import linededup, secrets
+from . import licenses, linededup, secrets
 from .catalog import query, table
 
 OP3_SQL = r"""
@@ -47,3 +47,8 @@ def op8_line_dedup(spark, sf_dir):
     found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", spans.alias("spans"))
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
