@@ -1,4 +1,4 @@
-"""Joins on keys of which a few may hold a large share of the rows."""
+"""Joins on keys of which a few may hold a large share of the rows, and lookups of checked size."""
 
 from __future__ import annotations
 
@@ -24,3 +24,12 @@ def hot_join(rows: DataFrame, lookup: DataFrame, on: str, count: str = "n") -> D
     hot = F.broadcast(lookup.filter(F.col(count) > limit))
     rest = rows.join(F.broadcast(lookup.filter(F.col(count) > limit).select(on)), on, "left_anti")
     return rows.join(hot, on).unionByName(rest.join(lookup.filter(F.col(count) <= limit), on))
+
+
+SMALL_IDS = 2_000_000  # ids that may be broadcast: some tens of MB, whatever the input
+
+
+def keep_ids(rows: DataFrame, ids: DataFrame, on, how: str = "left_semi") -> DataFrame:
+    """Semi or anti join with a written table of distinct ids: broadcast while few, shuffled beyond."""
+    few = ids.limit(SMALL_IDS + 1).count() <= SMALL_IDS
+    return rows.join(F.broadcast(ids) if few else ids, on, how)

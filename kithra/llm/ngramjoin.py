@@ -2,8 +2,11 @@
 
 Every shingle flips one bit of a sketch, so the sketches of two sets differ in
 at most as many bits as the sets do.  Sets that may link differ in at most d
-elements, d given by their size band; a sketch cut into d + 1 parts therefore
-has an equal part in both.  Equal parts propose pairs, shingle sets decide.
+elements, d given by their size band; of a sketch cut into more than d parts,
+some are therefore equal in both.  Equal parts propose pairs, shingle sets
+decide.  A part is far wider than its few shingles, so it is kept as the XOR of
+a hash of each flipped bit.  Shingles that many texts of a sample share flip
+nothing: leaving the same shingles out everywhere never adds a difference.
 """
 
 from __future__ import annotations
@@ -12,17 +15,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialize, ship_package
 from . import bytewords
 from .components import components
-from .hotjoin import hot_join
+from .hotjoin import hot_join, keep_ids
 
 WIDTH = 3  # words of a shingle
 PERCENT = 90  # links at 100 * shared >= PERCENT * together
-PART_BITS = 128
+PART_BITS = 1 << 24
 BAND_GROWTH = 1.3  # upper edge of a size band over its lower one
-PAIR_UP = 24  # members of one part value that are paired with each other at once; of more, one leads a round
+SPARE = 2, 0.06  # parts beyond d + 1, and their share of d, so that empty parts need not propose pairs
+HOT_SAMPLE, HOT_TEXTS = 4096, 4  # a shingle in more than so many of so many sampled texts is left out of the sketches
+PAIR_UP = 32  # members of a group that are paired with each other at once
+CELL_ROWS, CELL_ELEMENTS, CELL_COLUMNS = 256, 200_000, 8192  # bounds of a block of members that are compared
 
 
 # ------------------------------------------------------------------ sketches
@@ -38,42 +45,65 @@ def bands(largest: int, growth: float = BAND_GROWTH) -> np.ndarray:
 def differing(top: int, percent: int) -> int:
     """How many elements two linked sets of at most ``top`` elements can differ in.
 
-    The union has at most 100 / percent times as many elements as the smaller
-    set, and at most 1 - percent / 100 of it differs.
+    With s shared elements, d others and similarity s / (s + d) at least p, the
+    sizes add up to 2 s + d, so d is at most (1 - p) / (1 + p) of their sum.
     """
-    return (100 - percent) * top // percent
+    return 2 * top * (100 - percent) // (100 + percent)
 
 
-def part_values(hashes: np.ndarray, band: int, parts: int) -> np.ndarray:
-    """One 64-bit value for each part of the set's parity sketch."""
+def spare(d: int) -> int:
+    return SPARE[0] + int(SPARE[1] * d)
+
+
+def part_values(hashes: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and 32-bit values of the parts that propose pairs; ``hashes`` is sorted.
+
+    Linked sets agree in more than ``spare(d)`` parts.  A set with no more
+    empty parts than that agrees in a part that is not empty, and needs to name
+    only those; another names them all.
+    """
+    parts = d + 1 + spare(d)
+    # the part grows with the hash, so a part's shingles are neighbours
     part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    bit = hashes & np.uint64(PART_BITS - 1)
-    flips = np.bincount((part * np.uint64(PART_BITS) + bit).astype(np.int64), minlength=parts * PART_BITS) & 1
-    words = np.packbits(flips.astype(np.uint8)).view(np.uint64).reshape(parts, PART_BITS // 64)
-    value = np.full(parts, band, np.uint64) * np.uint64(0x100000001B3) + np.arange(parts, dtype=np.uint64)
-    value = bytewords.mix(value)
-    for k in range(words.shape[1]):
-        value = bytewords.mix(value ^ words[:, k])
-    return value
-
-
-def sketch_parts(hashes: np.ndarray, edges: np.ndarray, percent: int) -> np.ndarray:
-    """Part values of the set in its own size band and in the next, if a set there may link to it."""
+    value = np.zeros(parts, np.uint64)
+    cut = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    if len(cut):
+        # equal bits cancel, as they do in the sketch itself
+        value[part[cut].astype(np.int64)] = np.bitwise_xor.reduceat(bytewords.mix(hashes & np.uint64(PART_BITS - 1)), cut)
+    named = np.arange(parts)
+    if parts - len(cut) <= spare(d):
+        named = part[cut].astype(np.int64)
+    return named, (value[named] ^ (value[named] >> np.uint64(32))).astype(np.uint32)
+
+
+def sketch_parts(hashes: np.ndarray, edges: np.ndarray, percent: int, hot: np.ndarray):
+    """The set's size band, then places and part values there, and in the next band if a set there may link to it."""
     n = len(hashes)
-    own = int(np.searchsorted(edges, n, side="right")) - 1
-    found = []
-    for band in (own, own + 1):
-        # a band is joined by its own sets and by smaller ones that reach percent of its lower edge
-        if band == own or 100 * n >= percent * int(edges[band]):
-            found.append(part_values(hashes, band, differing(int(edges[band + 1]) - 1, percent) + 1))
-    return np.concatenate(found)
+    band = int(np.searchsorted(edges, n, side="right")) - 1
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
+        hashes = hashes[hot[at] != hashes]
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    # a band is joined by its own sets and by smaller ones that reach percent of its lower edge
+    found = [part_values(hashes, differing(int(edges[k + 1]) - 1, percent))
+             if k == band or 100 * n >= percent * int(edges[k]) else none for k in (band, band + 1)]
+    return band, *found[0], *found[1]
+
+
+def hot_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
+    """Shingles of more than ``HOT_TEXTS`` of about ``HOT_SAMPLE`` texts chosen by hash; any answer is right, a good one is fast."""
+    share = max(1, -(-docs.count() // HOT_SAMPLE))
+    sample = docs.filter(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(share)) == 0)).select(text).distinct()
+    found = shingle_rows(sample, text, [], width).select(F.explode("shingles").alias("s")).groupBy("s").count()
+    rows = found.filter(F.col("count") > HOT_TEXTS).select("s").collect()  # a fraction of the sample's shingles
+    return np.sort(np.array([r["s"] for r in rows], np.int64).view(np.uint64))
 
 
 def shingle_rows(docs: DataFrame, text: str, columns: list[str], width: int) -> DataFrame:
     """``columns`` plus ``shingles``, the sorted distinct 64-bit shingle hashes."""
     ship_package(docs.sparkSession)
     rows = docs.select(*columns, F.col(text).alias("_text"))
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns) + ", shingles array<long>"
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns), "shingles array<long>"])
 
     def run(batches):
         for batch in batches:
@@ -85,34 +115,47 @@ def shingle_rows(docs: DataFrame, text: str, columns: list[str], width: int) ->
     return rows.mapInArrow(run, schema)
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
+def _lists(arrays: list[np.ndarray], kind=np.uint64) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
-    values = np.concatenate([*arrays, np.zeros(0, np.uint64)]).view(np.int64)
+    values = np.concatenate([*arrays, np.zeros(0, kind)]).view(np.int64 if kind == np.uint64 else np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def sketched(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """(key, n_shingles, print, parts): set size, 128 bits that stand for the set, and its sketch parts."""
+    """(key, n_shingles, print, band, own_at, own, next_at, next): set size, 128 bits that stand for the set, sketch parts."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    nothing = 0, *[np.zeros(0, np.int64), np.zeros(0, np.uint32)] * 2
+    shared = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, text, width))
 
     def run(batches):
         edges = bands(1 << 10)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                sizes, prints, values = [], [], []
+                sizes, prints, parts = [], [], []
                 for found in bytewords.shingle_sets(part.column(1), width):
                     if len(found) * 2 > edges[-2]:
                         edges = bands(len(found) * 4)
                     sizes.append(len(found))
                     # sums over the set in two independent mixes: order and batches do not matter
                     prints.append(np.array([found.sum(), bytewords.mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()], np.uint64).tobytes())
-                    values.append(sketch_parts(found, edges, percent) if len(found) else found)
+                    parts.append(sketch_parts(found, edges, percent, shared.value) if len(found) else nothing)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(values)],
-                    ["key", "n_shingles", "print", "parts"])
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array([x[0] for x in parts], pa.int32()),
+                     *[_lists([x[k].astype(np.uint32) for x in parts], np.uint32) for k in (1, 2, 3, 4)]],
+                    ["key", "n_shingles", "print", "band", "own_at", "own", "next_at", "next"])
+
+    return rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, "
+                                "band int, own_at array<int>, own array<int>, next_at array<int>, next array<int>")
+
 
-    return rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, parts array<long>")
+def part_keys(rows: DataFrame) -> DataFrame:
+    """(id, value): one row per sketch part; the value tells band, place and content of the part."""
+    def keyed(places, parts, band):
+        return F.zip_with(places, parts, lambda i, v: F.xxhash64(v, i, band))
+
+    both = F.concat(keyed(F.col("own_at"), F.col("own"), F.col("band")), keyed(F.col("next_at"), F.col("next"), F.col("band") + 1))
+    return rows.select("id", F.explode(both).alias("value"))
 
 
 # ------------------------------------------------------------------ join
@@ -136,33 +179,42 @@ def linked(parts: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int
     """(a, b): links whose components are those of all links; ``parts`` is (id, value), ``texts`` (id, text).
 
     Candidate pairs are the members of equal sketch parts.  Members already in
-    one component need no comparison.  A small group is paired up at once.  In
-    a large one, the member with the most links so far is compared with all
-    others and then leaves, so a family of near copies is not paired up whole;
-    when the rounds end, every candidate pair is compared or connected.
+    one component need no comparison, so each group is first compared with one
+    of its members, twice: its smallest id, then the one with the most links.
+    Of groups that are still in several components, the small ones are paired
+    up; large ones are joined to families, whose members are compared block by
+    block (see ``_compared``).
     """
     # most values stand once; only the others are written
     spread = parts.repartition(F.col("value"))
     often = spread.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1").select("value")
-    members = materialize(spread.join(often, "value").select("value", "id").distinct(), "parts")
+    groups = materialize(spread.join(often, "value").select("value", "id").distinct(), "parts")
     # only texts with a shared part take part in verification
-    sets = materialize(shingle_rows(texts.join(members.select("id").distinct(), "id", "left_semi"), "text", ["id"], width), "shingles")
-    groups = members.withColumn("component", F.col("id")).withColumn("links", F.lit(0).cast("long"))
+    concerned = materialize(groups.select("id").distinct(), "concerned")
+    sets = materialize(shingle_rows(keep_ids(texts, concerned, "id"), "text", ["id"], width), "shingles")
+    groups = groups.withColumn("component", F.col("id")).withColumn("links", F.lit(0).cast("long"))
     links = None
-    while True:
-        state = materialize(_staged(groups), "groups")
-        pairs = materialize(_proposed(state), "pairs")
-        if not pairs.limit(1).count():
-            return links if links is not None else pairs
-        found = verified(pairs, sets, percent)
-        links = materialize(found if links is None else links.unionByName(found), "links")
-        rest = state.filter(f"n > {PAIR_UP} and id != head").select("value", "id")
+    for _ in range(2):
+        pairs = _stars(groups).filter("component != head_component").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))
+        found = verified(pairs.distinct(), sets, percent)
+        links = materialize(found if links is None else links.unionByName(found).distinct(), "links")
         known = components(links).join(_degrees(links), "id")
-        rest = rest.join(known, "id", "left").select(
+        groups = groups.select("value", "id").join(known, "id", "left").select(
             "value", "id", F.coalesce("component", "id").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
         # groups whose members are all in one component are done
-        unlike = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
-        groups = rest.join(unlike, "value")
+        unlike = groups.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
+        groups = materialize(groups.join(unlike, "value"), "groups")
+    sized = groups.join(groups.groupBy("value").agg(F.count("*").alias("n")), "value")
+    small, large = sized.filter(f"n <= {PAIR_UP}"), sized.filter(f"n > {PAIR_UP}")
+    pairs = materialize(_pairs(small).distinct(), "pairs")
+    return links.unionByName(verified(pairs, sets, percent)).unionByName(_compared(large, sets, percent))
+
+
+def _pairs(groups: DataFrame) -> DataFrame:
+    """(a, b): members of one group and of different components."""
+    a = groups.select("value", F.col("id").alias("a"), F.col("component").alias("ca"))
+    b = groups.select("value", F.col("id").alias("b"), F.col("component").alias("cb"))
+    return a.join(b, "value").filter("a < b and ca != cb").select("a", "b")
 
 
 def _degrees(links: DataFrame) -> DataFrame:
@@ -170,22 +222,78 @@ def _degrees(links: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count("*").alias("links"))
 
 
-def _staged(groups: DataFrame) -> DataFrame:
-    """Adds each group's size and its head, the member with the most links, then the smallest id."""
-    best = groups.groupBy("value").agg(
-        F.count("*").alias("n"), F.min(F.struct((-F.col("links")).alias("l"), "id", "component")).alias("h"))
+def _stars(groups: DataFrame) -> DataFrame:
+    """Adds each group's head, the member with the most links, then the smallest id."""
+    best = groups.groupBy("value").agg(F.min(F.struct((-F.col("links")).alias("l"), "id", "component")).alias("h"))
     return groups.join(best, "value").select(
-        "value", "id", "component", "n", F.col("h.id").alias("head"), F.col("h.component").alias("head_component"))
+        "value", "id", "component", F.col("h.id").alias("head"), F.col("h.component").alias("head_component"))
+
 
+def _compared(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of different components that share a group, a spanning forest of each cell's.
 
-def _proposed(state: DataFrame) -> DataFrame:
-    """Pairs of different components: all of a small group, the head with all others of a large one."""
-    small, large = state.filter(f"n <= {PAIR_UP}"), state.filter(f"n > {PAIR_UP} and component != head_component")
-    a = small.select("value", F.col("id").alias("a"), F.col("component").alias("ca"))
-    b = small.select("value", F.col("id").alias("b"), F.col("component").alias("cb"))
-    pairs = a.join(b, "value").filter("a < b and ca != cb").select("a", "b")
-    stars = large.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))
-    return pairs.unionByName(stars).distinct()
+    A family is a component of the groups' stars, so it holds all candidate
+    pairs of its members.  It is cut into blocks of bounded size, in the order
+    of its members' components; each pair of blocks is one task's cell, which
+    returns fewer links than it has members.  Blocks of one and the same
+    component do not meet.
+    """
+    stars = _stars(groups)
+    family = components(stars.select(F.col("id").alias("a"), F.col("head").alias("b")))
+    members = groups.select("id", "component").distinct().join(family.withColumnRenamed("component", "family"), "id")
+    sized = members.join(sets.groupBy("id").agg(F.sum(F.size("shingles")).alias("n")), "id")
+    share = F.greatest("n", F.lit(CELL_ELEMENTS // CELL_ROWS))
+    upto = F.sum(share).over(Window.partitionBy("family").orderBy("component", "id").rowsBetween(Window.unboundedPreceding, -1))
+    placed = materialize(sized.select("family", "id", "component", F.floor(F.coalesce(upto, F.lit(0)) / CELL_ELEMENTS).alias("block")), "families")
+    blocks = placed.groupBy("family", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    one = blocks.select("family", F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"))
+    two = blocks.select("family", F.col("block").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
+    cells = one.join(two, "family").filter("i <= j and not (lo_i = hi_i and lo_j = hi_j and lo_i = lo_j)").select("family", "i", "j")
+    ends = cells.select("family", F.col("i").alias("block"), "i", "j").unionByName(
+        cells.filter("i < j").select("family", F.col("j").alias("block"), "i", "j"))
+    rows = placed.join(ends, ["family", "block"]).join(sets, "id").select("family", "i", "j", "block", "id", "component", "shingles")
+
+    def cell(table: pa.Table) -> pa.Table:
+        return cell_links(table, percent)
+
+    return rows.groupBy("family", "i", "j").applyInArrow(cell, "a long, b long")
+
+
+def cell_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one cell's members that join different components, as a spanning forest."""
+    ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+    lists = table["shingles"].combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
+    hashes = lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(ids)), size)
+    # only shingles of several members can be shared
+    _, word, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    often = times > 1
+    number = np.cumsum(often) - 1
+    kept = often[word]
+    owner, word = owner[kept], number[word[kept]]
+    shared = np.zeros((len(ids), len(ids)), np.int64)
+    for start in range(0, int(often.sum()), CELL_COLUMNS):
+        here = (word >= start) & (word < start + CELL_COLUMNS)
+        held = np.zeros((len(ids), CELL_COLUMNS), np.float32)
+        held[owner[here], word[here] - start] = 1
+        shared += np.rint(held @ held.T).astype(np.int64)
+    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    root = {c: c for c in component.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for p, q in zip(*(x.tolist() for x in np.nonzero(np.triu(linked & (component[:, None] != component[None, :]), 1)))):
+        a, b = find(int(component[p])), find(int(component[q]))
+        if a != b:
+            root[a] = b
+            found.append((int(ids[p]), int(ids[q])))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
 
 def ngram_jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -202,8 +310,9 @@ def ngram_jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     rows = materialize(sketched(docs, key, text, width, percent), "sketches")
     known = rows.filter("key is not null and n_shingles > 0").withColumn("id", F.col("key").cast("long"))
     classes = materialize(known.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
-    reps = known.join(classes.select("print", "rep"), "print").filter("id = rep")
-    parts = reps.select("id", F.explode("parts").alias("value"))
+    # texts that repeat a smaller key's set are left out by a lookup, so that no sketch is shuffled
+    copies = hot_join(known.select("id", "print"), classes, "print").filter("id != rep").select("id", "print").distinct()
+    parts = part_keys(keep_ids(known, materialize(copies, "copies"), ["id", "print"], "left_anti"))
     texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     links = linked(parts, texts, width, percent)
     # a key with several texts stands for several classes, which it links
