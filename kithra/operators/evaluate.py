@@ -12,8 +12,8 @@ from .linear import vector_stats
 from .ordinal import with_ordinal
 
 
-def ground_truth(base: DataFrame, queries: DataFrame, k: int = 50, metric="l2", first: int | None = 1000, **options) -> DataFrame:
-    """Exact neighbours of the first queries by id."""
+def ground_truth(base: DataFrame, queries: DataFrame, k: int = 50, metric="l2", first: int | None = None, **options) -> DataFrame:
+    """Exact neighbours of all queries, or of the first ones by id."""
     if first:
         queries = queries.orderBy("query_id").limit(first)
     return knn_join(queries, base, k, metric, **options)

@@ -13,11 +13,12 @@ names only, so it can be moved:
 from __future__ import annotations
 
 import json
-import time
 from dataclasses import dataclass, field, replace
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,8 +120,8 @@ class VectorIndex:
         return replace(self, postings=new if self.postings is None else self.postings.unionByName(new))
 
     def add(self, rows: DataFrame, order: list) -> "VectorIndex":
-        """Append ``vector`` rows; ids go on at ``ntotal`` in the given order."""
-        numbered = with_ordinal(rows, order, "_new", start=self.ntotal)
+        """Append ``vector`` rows; ids go on after the highest one, in the given order."""
+        numbered = with_ordinal(rows, order, "_new", start=self.next_id)
         return self.add_with_ids(numbered.select(F.col("_new").alias("id"), "vector"))
 
     # ---------------------------------------------------------- maintenance
@@ -129,6 +130,12 @@ class VectorIndex:
     def ntotal(self) -> int:
         return 0 if self.postings is None else self.postings.count()
 
+    @property
+    def next_id(self) -> int:
+        """One more than the highest id, so ids left after a removal are not given twice."""
+        top = None if self.postings is None else self.postings.agg(F.max("id")).first()[0]
+        return 0 if top is None else top + 1
+
     def _with(self, postings: DataFrame) -> "VectorIndex":
         return replace(self, postings=postings)
 
@@ -350,7 +357,7 @@ class VectorIndex:
         """Write the index to a new folder and return the stored form."""
         model = self.model_arrow()
         self.spark.createDataFrame([(self._meta(),)], "meta string").write.parquet(f"{path}/meta")
-        self.spark.createDataFrame(model.to_pandas(), "component string, i int, values array<double>").coalesce(1).write.parquet(f"{path}/model")
+        self.spark.createDataFrame(model).coalesce(1).write.parquet(f"{path}/model")
         rows = self.postings if self.postings is not None else self.spark.createDataFrame([], "list_id long, id long, vector array<double>")
         # range layout: a cell's rows lie together, and file statistics prune the
         # others; the id is part of the key, so an oversize cell spans several files
@@ -414,36 +421,86 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+class ChangeLog:
+    """Batches of additions and removals beside an index, in one order for all writers.
+
+    A batch claims the next number by creating a file of that name, which the
+    file system lets only one writer do; writes its rows under the number; and
+    is listed by a marker ``kind~stream~batch~number`` once they are complete.
+    A batch that runs again finds its marker and writes nothing, so it keeps its
+    place; rows without a marker are what a failed run left, and are not read.
+    Files once listed are never rewritten.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.root = spark, f"{path}/log"
+        self._java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._java(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        where = self._java(f"{self.root}/{folder}")
+        return [f.getPath().getName() for f in self._fs.listStatus(where)] if self._fs.exists(where) else []
+
+    def _create(self, name: str) -> bool:
+        try:
+            return bool(self._fs.createNewFile(self._java(f"{self.root}/{name}")))
+        except Py4JJavaError:  # another writer was first
+            return False
+
+    def _claim(self) -> int:
+        number = max((int(n) for n in self._names("claims")), default=-1) + 1
+        while not self._create(f"claims/{number}"):
+            number += 1
+        return number
+
+    def batches(self, kind: str) -> dict[tuple[str, int], int]:
+        """(stream, batch) → number of the complete batches of a kind; the first run counts."""
+        found: dict[tuple[str, int], int] = {}
+        for name in self._names("done"):
+            its, stream, batch, number = name.split("~")
+            if its == kind:
+                key = stream, int(batch)
+                found[key] = min(int(number), found.get(key, int(number)))
+        return found
+
+    def write(self, kind: str, rows: DataFrame, stream: str, batch: int) -> None:
+        name = quote(stream, safe="").replace("~", "%7E")
+        if (name, batch) in self.batches(kind):
+            return
+        number = self._claim()
+        rows.withColumn("version", F.lit(number).cast("long")).write.parquet(f"{self.root}/{kind}/{number}")
+        self._create(f"done/{kind}~{name}~{batch}~{number}")
+
+    def read(self, kind: str, schema) -> DataFrame | None:
+        paths = [f"{self.root}/{kind}/{n}" for n in sorted(self.batches(kind).values())]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
     """Stored postings with the change log applied: a removal drops what was there before it."""
     base = spark.read.parquet(f"{path}/postings")
     columns = base.columns
     base = base.withColumn("version", F.lit(-1).cast("long"))
-    if _exists(spark, f"{path}/log/added"):
-        added = spark.read.schema(base.schema).parquet(f"{path}/log/added")
+    log = ChangeLog(spark, path)
+    added = log.read("added", base.schema)
+    if added is not None:
         base = base.unionByName(added.select(*base.columns))
-    if _exists(spark, f"{path}/log/removed"):
-        removed = spark.read.schema("id long, version long").parquet(f"{path}/log/removed")
+    removed = log.read("removed", "id long, version long")
+    if removed is not None:
         # only a removal after the row counts; the last one per id is enough
         last = removed.groupBy("id").agg(F.max("version").alias("gone"))
         base = base.join(last, "id", "left").filter(F.col("gone").isNull() | (F.col("gone") < F.col("version")))
     return base.select(*columns)
 
 
-def _log(rows: DataFrame, folder: str) -> None:
-    # the version orders additions and removals of one writer; the folder is the
-    # batch, so running a batch again replaces what its first run left
-    rows.withColumn("version", F.lit(time.time_ns()).cast("long")).write.mode("overwrite").parquet(folder)
-
-
-def log_added(index: VectorIndex, path: str, rows: DataFrame, batch: int) -> None:
-    """Append ``(id, vector)`` rows as batch ``batch`` of the change log."""
-    _log(index.encode(rows), f"{path}/log/added/batch={batch}")
+def log_added(index: VectorIndex, path: str, rows: DataFrame, batch: int, stream: str = "") -> None:
+    """Append ``(id, vector)`` rows as batch ``batch`` of the writer ``stream``."""
+    ChangeLog(index.spark, path).write("added", index.encode(rows), stream, batch)
 
 
-def log_removed(path: str, ids: DataFrame, batch: int) -> None:
-    """Remove ids as batch ``batch`` of the change log."""
-    _log(ids.select(F.col("id").cast("long")).distinct(), f"{path}/log/removed/batch={batch}")
+def log_removed(path: str, ids: DataFrame, batch: int, stream: str = "") -> None:
+    """Remove ids as batch ``batch`` of the writer ``stream``."""
+    ChangeLog(ids.sparkSession, path).write("removed", ids.select(F.col("id").cast("long")).distinct(), stream, batch)
 
 
 def compact(index_path: str, new_path: str, spark: SparkSession) -> VectorIndex:
@@ -451,9 +508,12 @@ def compact(index_path: str, new_path: str, spark: SparkSession) -> VectorIndex:
     return VectorIndex.load(spark, index_path).save(new_path)
 
 
-def relocated(spark: SparkSession, path: str) -> VectorIndex:
-    """Open an index that was moved: all names inside are relative to ``path``."""
-    return VectorIndex.load(spark, path)
+def copy_index(spark: SparkSession, path: str, new_path: str) -> VectorIndex:
+    """Copy an index folder, change log included, and open the copy; nothing inside names its place."""
+    java, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = java.Path(path), java.Path(new_path)
+    java.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    return VectorIndex.load(spark, new_path)
 
 
 # -------------------------------------------------------------------- catalog

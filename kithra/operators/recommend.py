@@ -40,14 +40,20 @@ def matrix_factorization(ratings: DataFrame, rank: int = 20, fill_zero: bool = F
     """
     from pyspark.ml.recommendation import ALS
 
-    rows = ratings.groupBy("user", "item").agg(F.avg("rating").alias("rating"))
+    cells = ratings.groupBy("user", "item").agg(F.avg("rating").alias("rating"))
+    # the trainer takes 32-bit ids, so any ids are numbered first and named again after
+    users = label_encode(cells, "user").withColumnRenamed("code", "_u")
+    items = label_encode(cells, "item").withColumnRenamed("code", "_i")
+    rows = skew.lookup_join(skew.lookup_join(cells, users, "user", "rows").drop("rows"), items, "item", "rows")
+    rows = rows.select(F.col("_u").cast("int").alias("user"), F.col("_i").cast("int").alias("item"), "rating")
     model = ALS(rank=rank, maxIter=iterations, userCol="user", itemCol="item", ratingCol="rating",
                 nonnegative=True, implicitPrefs=fill_zero, seed=seed, coldStartStrategy="drop").fit(rows)
 
-    def table(factors):
-        return factors.select(F.col("id").cast("long"), F.col("features").cast("array<double>").alias("vector"))
+    def table(factors, codes, column, code):
+        named = factors.join(codes.select(F.col(column).alias("_id"), F.col(code).cast("int").alias("id")), "id")
+        return named.select(F.col("_id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("vector"))
 
-    return table(model.userFactors), table(model.itemFactors)
+    return table(model.userFactors, users, "user", "_u"), table(model.itemFactors, items, "item", "_i")
 
 
 def cosine_factors(ratings: DataFrame, rank: int = 8, seed: int = 0):

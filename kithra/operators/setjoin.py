@@ -8,6 +8,7 @@ found between distinct sets, exactly (prefix filter) or by MinHash bands.
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,6 @@ from .ordinal import with_ordinal
 BUCKET_ROWS = 4096  # rows of one token or band that one task may pair up
 SHARED = 3  # common rare words a candidate pair must show
 PRIME = (1 << 31) - 1  # fixed value: modulus of the MinHash permutations
-MIN_WORDS = 3  # fixed value: texts of at most this many words are not indexed
 
 
 # ------------------------------------------------------------------ word sets
@@ -137,6 +137,46 @@ def _joined_sets(left, right, threshold, **options):
     return jaccard_sets_join(ls, rs, threshold, **options)
 
 
+def document_pairs(pairs: DataFrame, members: DataFrame, other: DataFrame | None = None) -> DataFrame:
+    """``(a, b, jaccard)`` of documents, from pairs of sets and their members ``(set_id, id)``.
+
+    Within one table documents of one set are pairs too, and a < b.  The result
+    has as many rows as there are similar documents; ``families`` is the form
+    whose size stays with the input.
+    """
+    left = members.select(F.col("set_id").alias("a"), F.col("id").alias("ida"))
+    right = (members if other is None else other).select(F.col("set_id").alias("b"), F.col("id").alias("idb"))
+    both = pairs.select("a", "b", "jaccard").join(left, "a").join(right, "b").select("ida", "idb", "jaccard")
+    if other is not None:
+        return both.select(F.col("ida").alias("a"), F.col("idb").alias("b"), "jaccard")
+    same = left.join(right, left["a"] == right["b"]).filter("ida < idb").select("ida", "idb", F.lit(1.0).alias("jaccard"))
+    return both.unionByName(same).select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"), "jaccard")
+
+
+def jaccard_documents(texts: DataFrame, threshold: float, **options) -> DataFrame:
+    """Pairs of documents ``(a, b, jaccard)``, a < b, those with equal word sets included."""
+    sets, members = distinct_sets(texts)
+    sets, members = materialize(sets, "sets"), materialize(members, "members")
+    return document_pairs(materialize(_joined_sets(sets, None, threshold, **options), "set-pairs"), members)
+
+
+def families(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``(id, family)`` of every document: the lowest id that a chain of pairs of sets leads to."""
+    label = materialize(members.select("set_id").distinct().withColumn("family", F.col("set_id")), "family")
+    both = materialize(pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    while True:
+        seen = both.join(label.select(F.col("set_id").alias("b"), "family"), "b").groupBy("a").agg(F.min("family").alias("_least"))
+        near = label.join(seen.withColumnRenamed("a", "set_id"), "set_id", "left").select(
+            "set_id", F.least("family", "_least").alias("family"), "_least", F.col("family").alias("_was"))
+        # a label is itself a set; taking its label in turn halves the way
+        near = near.join(near.select(F.col("set_id").alias("family"), F.col("family").alias("_far")), "family").select(
+            "set_id", F.least("family", "_far").alias("family"), "_was")
+        near = materialize(near, "family")
+        label = near.select("set_id", "family")
+        if not near.filter("family <> _was").limit(1).count():
+            return members.join(label, "set_id").select("id", "family")
+
+
 # ----------------------------------------------------------------- MinHash
 
 def permutations(n_perm: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -200,19 +240,21 @@ def lsh_candidates(left: DataFrame, right: DataFrame | None, bands: int, rows: i
     return pairs.select("a", "b").distinct()
 
 
-def minhash_lsh_join(a: DataFrame, b: DataFrame | None, threshold: float, n_perm: int = 256, seed: int = 0, layout=None) -> DataFrame:
+def minhash_lsh_join(
+    a: DataFrame, b: DataFrame | None, threshold: float, n_perm: int = 256, seed: int = 0, layout=None, min_words: int = 0,
+) -> DataFrame:
     """Pairs of distinct word sets found by banded MinHash and verified exactly.
 
-    No false positives; texts of at most three words are not indexed.
+    No false positives; ``min_words`` leaves out sets of fewer words (of the stored side).
     """
     left = materialize(distinct_sets(a)[0], "sets")
     right = None if b is None else materialize(distinct_sets(b)[0], "sets")
-    return _lsh_joined_sets(left, right, threshold, n_perm, seed, layout)
+    return _lsh_joined_sets(left, right, threshold, n_perm, seed, layout, min_words)
 
 
-def _lsh_joined_sets(left, right, threshold, n_perm, seed, layout=None):
+def _lsh_joined_sets(left, right, threshold, n_perm, seed, layout=None, min_words=0):
     bands, rows = layout or band_layout(threshold, n_perm)
-    long_enough = F.size("words") > MIN_WORDS
+    long_enough = F.size("words") >= min_words
     left = left.filter(long_enough) if right is None else left
     right = None if right is None else right.filter(long_enough)
     numbers = materialize(number_words(left, right), "words")
@@ -231,14 +273,15 @@ def _lsh_joined_sets(left, right, threshold, n_perm, seed, layout=None):
 
 def text_neighbours(
     queries: DataFrame, source: DataFrame, k: int, lemma_threshold: float, text_threshold: float,
-    method="exact", remove_identical=False, mode="best", seed=0, n_perm: int = 256,
+    method="exact", remove_identical=False, mode="best", seed=0, n_perm: int = 256, min_words: int = 0,
 ) -> DataFrame:
     """Similar texts per query: ``(query_id, rank, id, jaccard)``.
 
     Both tables are ``(id, text, lemma)``.  Candidates come from lemma sets
     above one threshold, are kept where the texts' own word sets are above the
     other, best first (ties by id).  Of a group of identical source sets k
-    members are enough, as they tie and the lowest ids win.
+    members are enough then, as they tie and the lowest ids win.  ``sample``
+    draws k of all that are kept, for each query anew.
     """
     if mode not in ("best", "sample"):
         raise ValueError("mode must be 'best' or 'sample'")
@@ -250,12 +293,12 @@ def text_neighbours(
     if method == "exact":
         pairs = _joined_sets(asked_sets, stored_sets, lemma_threshold)
     else:
-        pairs = _lsh_joined_sets(asked_sets, stored_sets, lemma_threshold, n_perm, seed)
+        pairs = _lsh_joined_sets(asked_sets, stored_sets, lemma_threshold, n_perm, seed, min_words=min_words)
     # group the stored members by (lemma set, text): equal texts tie, so k of each are enough
     texts = source.select("id", "text", F.sort_array(word_set("text")).alias("words"))
     rows = stored_members.join(texts, "id").withColumn("sig", F.sha2("text", 256))
-    order = [F.col("id")] if mode == "best" else [keyed_hash("id", seed=seed), F.col("id")]
-    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("set_id", "sig").orderBy(*order))).filter(F.col("_r") <= k)
+    if mode == "best":
+        rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("set_id", "sig").orderBy("id"))).filter(F.col("_r") <= k)
     qrows = asked_members.join(
         queries.select(F.col("id"), F.col("text").alias("qtext"), F.sort_array(word_set("text")).alias("qwords")), "id")
     found = (
@@ -283,12 +326,12 @@ def neighbour_graph(pairs: DataFrame) -> DataFrame:
     return both.unionAll(nodes.select("src", F.col("src").alias("dst")))
 
 
-def bfs(edges: DataFrame, seeds: DataFrame, rounds: int = 10) -> DataFrame:
-    """Nodes reached from the seeds ``(id)`` within ``rounds`` steps: ``(id, depth)``."""
+def bfs(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Nodes reached from the seeds ``(id)``, within ``rounds`` steps if given: ``(id, depth)``."""
     # many frontier rows may lead to one node: distinct folds them before the shuffle
     seen = materialize(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "bfs")
     frontier = seen.select("id")
-    for depth in range(1, rounds + 1):
+    for depth in count(1) if rounds is None else range(1, rounds + 1):
         step = (
             edges.join(frontier.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id")).distinct()
             .join(seen, "id", "left_anti").withColumn("depth", F.lit(depth))

@@ -81,13 +81,22 @@ def pack_pair_tokens(df: DataFrame, a: str, b: str, length: int) -> DataFrame:
     ).withColumn("mask", F.concat(F.array_repeat(F.lit(1), used), zeros))
 
 
+VOCABULARY_BYTES = 1 << 30
+
+
 def word_vectors(texts: DataFrame, dim: int = 64, window: int = 5, min_count: int = 1, seed: int = 0, text="text", iterations: int = 1) -> DataFrame:
     """``(word, vector)`` by skip-gram training (whole words, no sub-words)."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
     rows = texts.select(F.filter(words(text), lambda w: w != "").alias("_words"))
-    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, maxIter=iterations,
+    # the trainer gathers the vocabulary and its vectors on the driver: check before, and drop no words in silence
+    often = rows.select(F.explode("_words").alias("w")).groupBy("w").count().filter(F.col("count") >= min_count)
+    size = often.count()
+    if size * dim * 8 > VOCABULARY_BYTES:
+        raise ValueError(f"{size} words of {dim} components exceed {VOCABULARY_BYTES} bytes; raise min_count")
+    partitions = max(1, rows.rdd.getNumPartitions())
+    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, maxIter=iterations, numPartitions=partitions,
                      inputCol="_words", outputCol="_v").fit(rows)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 

@@ -38,7 +38,7 @@ def _(t: Tables):
     return i.search(t.queries, 6, NP)
 
 
-@query("index_add_sequential_ids", f"WITH {VECTORS}, n AS (SELECT id FROM vec UNION ALL SELECT (SELECT count(*) FROM vec) + row_number() OVER (ORDER BY id DESC) - 1 FROM vec) SELECT id FROM n")
+@query("index_add_sequential_ids", f"WITH {VECTORS}, n AS (SELECT id FROM vec UNION ALL SELECT (SELECT max(id) + 1 FROM vec) + row_number() OVER (ORDER BY id DESC) - 1 FROM vec) SELECT id FROM n")
 def _(t: Tables):
     i = cell_index(t)
     return i.add(t.vectors, [-F.col("id")]).postings.select("id")
@@ -152,6 +152,42 @@ def _(t: Tables):
     return ix.compact(path, scratch_path(t.spark, "index"), t.spark).search(t.queries, 6, NP)
 
 
+@query("index_two_writers", f"WITH {VECTORS}, {_found()}")
+def _(t: Tables):
+    """Two streams both count their batches from 0."""
+    path = scratch_path(t.spark, "index")
+    i = cell_index(t, t.vectors.limit(0)).save(path)
+    for part, stream in ((0, "a"), (1, "b")):
+        ix.log_added(i, path, t.vectors.filter(F.col("id") % 2 == part), 0, stream)
+    return ix.VectorIndex.load(t.spark, path).search(t.queries, 6, NP)
+
+
+@query("index_replayed_batch", f"WITH {VECTORS}, {KEPT}, {_found('kept')}")
+def _(t: Tables):
+    """An addition that runs again after a removal keeps its place before it."""
+    path = scratch_path(t.spark, "index")
+    i = cell_index(t, t.vectors.limit(0)).save(path)
+    ix.log_added(i, path, t.vectors, 0)
+    ix.log_removed(path, t("events").select(F.col("user_id").alias("id")), 0)
+    ix.log_added(i, path, t.vectors, 0)
+    return ix.VectorIndex.load(t.spark, path).search(t.queries, 6, NP)
+
+
+@query("index_add_after_remove", f"""WITH {VECTORS} SELECT id FROM vec WHERE id >= 10 UNION ALL
+  SELECT (SELECT max(id) FROM vec) + row_number() OVER (ORDER BY id) FROM vec WHERE id < 20""")
+def _(t: Tables):
+    left = cell_index(t).remove_ids(F.col("id") < 10)
+    return left.add(t.vectors.filter("id < 20"), ["id"]).postings.select("id")
+
+
+@query("index_moved", f"WITH {VECTORS}, {_found()}")
+def _(t: Tables):
+    path, moved = scratch_path(t.spark, "index"), scratch_path(t.spark, "moved")
+    i = cell_index(t, t.vectors.filter("id % 2 = 0")).save(path)
+    ix.log_added(i, path, t.vectors.filter("id % 2 = 1"), 0)
+    return ix.copy_index(t.spark, path, moved).search(t.queries, 6, NP)
+
+
 @query("index_catalog_search", f"""WITH {VECTORS}, r AS ({top(f"SELECT a.id AS query_id, b.id AS id, {l2('a.v', 'b.v')} AS distance FROM vec a, vec b", 3)})
   SELECT query_id, "rank", r.id, distance, p_name AS text FROM r LEFT JOIN part ON p_partkey = r.id""")
 def _(t: Tables):

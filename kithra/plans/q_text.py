@@ -173,7 +173,7 @@ def _(t: Tables):
 BANDS, ROWS = setjoin.band_layout(0.5, 128)
 
 
-@query("minhash_lsh_join", f"""WITH {SETS}, {_sig_sql(128)}, band AS (SELECT id, g.i AS band, signature[g.i*{ROWS}+1 : g.i*{ROWS}+{ROWS}] AS part FROM sig JOIN sets USING (id), generate_series(0, {BANDS - 1}) g(i) WHERE len(w) > 3),
+@query("minhash_lsh_join", f"""WITH {SETS}, {_sig_sql(128)}, band AS (SELECT id, g.i AS band, signature[g.i*{ROWS}+1 : g.i*{ROWS}+{ROWS}] AS part FROM sig JOIN sets USING (id), generate_series(0, {BANDS - 1}) g(i)),
   cand AS (SELECT DISTINCT a.id AS a, b.id AS b FROM band a JOIN band b ON a.band = b.band AND a.part = b.part AND a.id < b.id),
   {INTER} SELECT * FROM ({_jaccard_sql(0.5)}) JOIN cand USING (a, b)""")
 def _(t: Tables):
@@ -207,6 +207,13 @@ def _(t: Tables):
     return setjoin.text_neighbours(rows, rows, 5, 0.4, 0.2, remove_identical=True)
 
 
+@query("text_neighbours_sample", f"""WITH {LEMMA} SELECT query_id, "rank", id, jaccard FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+  ORDER BY {h('query_id', 'id')}, id)::INTEGER AS "rank" FROM sc) WHERE "rank" <= 3""")
+def _(t: Tables):
+    rows = _sources(t)
+    return setjoin.text_neighbours(rows, rows, 3, 0.4, 0.2, mode="sample")
+
+
 EDGES = (
     f"par AS ({_jaccard_sql(0.4)}), pairs2 AS (SELECT a AS src, b AS dst FROM par UNION ALL SELECT b, a FROM par),"
     " edge AS (SELECT * FROM pairs2 UNION ALL SELECT DISTINCT src, src FROM pairs2)"
@@ -229,6 +236,49 @@ def _(t: Tables):
     return setjoin.bfs(edges, seeds, 10)
 
 
+DOC_PAIRS = (
+    " dw AS (SELECT id, unnest(w) AS word, len(w) AS n FROM s0),"
+    " dj AS (SELECT a.id AS a, b.id AS b, count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) AS jaccard"
+    " FROM dw a JOIN dw b ON a.word = b.word AND a.id < b.id GROUP BY a.id, b.id)"
+)
+
+
+@query("jaccard_join_documents", f"WITH {SETS}, {DOC_PAIRS} SELECT a, b, jaccard FROM dj WHERE jaccard > 0.5")
+def _(t: Tables):
+    """Every document, those with equal word sets too."""
+    return setjoin.jaccard_documents(t.documents, 0.5)
+
+
+@query("document_families", f"""WITH RECURSIVE {SETS}, {DOC_PAIRS}, e AS (SELECT a, b FROM dj WHERE jaccard > 0.5 UNION ALL SELECT b, a FROM dj WHERE jaccard > 0.5),
+  reach(id, other) AS (SELECT id, id FROM s0 UNION SELECT reach.id, e.b FROM reach JOIN e ON e.a = reach.other)
+  SELECT id, min(other) AS family FROM reach GROUP BY id""")
+def _(t: Tables):
+    sets, members = setjoin.distinct_sets(t.documents)
+    return setjoin.families(setjoin.jaccard_join(t.documents, None, 0.5), members)
+
+
+@query("neighbour_graph_documents", f"""WITH {SETS}, {DOC_PAIRS}, e AS (SELECT a AS src, b AS dst FROM dj WHERE jaccard > 0.4 UNION ALL SELECT b, a FROM dj WHERE jaccard > 0.4)
+  SELECT src, dst FROM e UNION ALL SELECT DISTINCT src, src FROM e""")
+def _(t: Tables):
+    return setjoin.neighbour_graph(setjoin.jaccard_documents(t.documents, 0.4))
+
+
+@query("dedup_adjacency_documents", f"""WITH {SETS}, {DOC_PAIRS}, e AS (SELECT a AS src, b AS dst FROM dj WHERE jaccard > 0.4 UNION ALL SELECT b, a FROM dj WHERE jaccard > 0.4)
+  SELECT DISTINCT src, text FROM (SELECT src, dst FROM e UNION ALL SELECT src, src FROM e) JOIN documents ON doc_id = dst""")
+def _(t: Tables):
+    return setjoin.dedup_adjacency(setjoin.neighbour_graph(setjoin.jaccard_documents(t.documents, 0.4)), t.documents)
+
+
+@query("graph_reach", f"""WITH RECURSIVE {SETS}, {INTER}, {EDGES}, reach(id) AS (
+  SELECT id FROM (SELECT min(src) AS id FROM edge) UNION SELECT dst FROM reach JOIN edge ON src = id) SELECT id FROM reach""")
+def _(t: Tables):
+    """To the end, however many steps it takes."""
+    from ..session import materialize
+
+    edges = materialize(setjoin.neighbour_graph(setjoin.jaccard_join(t.documents, None, 0.4)), "edges")
+    return setjoin.bfs(edges, edges.agg(F.min("src").alias("id"))).select("id")
+
+
 @query("edit_pairs", f"""WITH {SETS}, {INTER}, {EDGES}, f AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS r FROM edge WHERE src <> dst)
   SELECT src, dst, jaccard FROM (SELECT f.src, f.dst, len(list_intersect(x.w, y.w))::DOUBLE / (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w))) AS jaccard
    FROM f JOIN sets x ON x.id = src JOIN sets y ON y.id = dst WHERE r <= 3) WHERE jaccard > 0.6 AND jaccard < 1.0""")

@@ -63,6 +63,13 @@ def read_bvecs(spark, path):
     return read_vecs(spark, path, "bvecs")
 
 
+def _qualified(spark, path: str) -> str:
+    """The path with the scheme of the cluster's default file system, where readers look too."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def write_vecs(df: DataFrame, path: str, fmt: str) -> DataFrame:
     """Write ``(id, vector)`` ordered by id as part files below ``path``; returns ``(file, rows)``.
 
@@ -70,12 +77,13 @@ def write_vecs(df: DataFrame, path: str, fmt: str) -> DataFrame:
     task that runs again replaces its own file.
     """
     width, dtype = FORMATS[fmt]
+    path = _qualified(df.sparkSession, path)
     rows = df.select(F.col("id").cast("long"), "vector").repartitionByRange("id").sortWithinPartitions("id")
 
     def store(batches):
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        system, root = fs.FileSystem.from_uri(path)
         system.create_dir(root, recursive=True)
         context = TaskContext.get()
         name = f"part-{context.partitionId():06d}.{fmt}"

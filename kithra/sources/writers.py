@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import arrays
 from ..operators.ordinal import with_ordinal
 from .readers import FIELD, GROUP
 
-LINE_ENTRIES = 100_000  # neighbours on one adjacency line
-
 
 def topk_lines(result: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``(value)`` lines ``key⇥id⟨2⟩score⟨1⟩…`` of ``(query_id, rank, id, distance)``; ids below 0 are left out.
@@ -59,14 +58,24 @@ def write_pairs(pairs: DataFrame, path: str) -> None:
     pairs.select("i", "j").write.parquet(path)
 
 
-def adjacency_lines(edges: DataFrame, line_entries: int = LINE_ENTRIES) -> DataFrame:
-    """``(src, value)`` lines ``src,n1,n2,…``, neighbours ascending.
+def adjacency_rows(edges: DataFrame) -> DataFrame:
+    """``(src, position, dst)``: neighbours ascending, one row each; the form for nodes of any degree."""
+    window = Window.partitionBy("src").orderBy("dst")
+    return edges.select("src", "dst").withColumn("position", F.row_number().over(window) - 1).select("src", "position", "dst")
+
+
+def adjacency_lines(edges: DataFrame, line_entries: int | None = None) -> DataFrame:
+    """``(src, value)`` lines ``src,n1,n2,…``, neighbours ascending, one line per node.
 
-    A node with very many neighbours takes several lines, each bounded.
+    With ``line_entries`` a node of more neighbours takes several lines, each
+    of about so many.
     """
+    if line_entries is None:
+        lists = edges.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("l"))
+        return lists.select("src", F.concat_ws(",", F.col("src").cast("string"), F.col("l").cast("array<string>")).alias("value"))
     sizes = edges.groupBy("src").agg(F.count("*").alias("_n")).filter(F.col("_n") > line_entries)
     wide = sizes.select("src", F.ceil(F.col("_n") / line_entries).cast("int").alias("_lines"))
-    rows = edges.join(F.broadcast(wide), "src", "left").withColumn(
+    rows = edges.join(wide, "src", "left").withColumn(
         "_line", F.pmod(F.xxhash64("dst"), F.coalesce("_lines", F.lit(1))))
     lists = rows.groupBy("src", "_line").agg(F.sort_array(F.collect_list("dst")).alias("l"))
     return lists.select("src", F.concat_ws(",", F.col("src").cast("string"), F.col("l").cast("array<string>")).alias("value"))
@@ -74,6 +83,7 @@ def adjacency_lines(edges: DataFrame, line_entries: int = LINE_ENTRIES) -> DataF
 
 def write_adjlist(edges: DataFrame, path: str, texts: DataFrame | None = None) -> None:
     """Id lines below ``path/int``; with ``texts`` ``(id, text)`` also groups of texts, a blank line after each."""
+    adjacency_rows(edges).write.parquet(f"{path}/edges")
     adjacency_lines(edges).select("value").write.text(f"{path}/int")
     if texts is not None:
         adjacency_texts(edges, texts).select("value").write.text(f"{path}/text")

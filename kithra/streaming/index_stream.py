@@ -1,7 +1,7 @@
 """Keep an index up to date from streams, and answer query streams.
 
-Each micro-batch is one idempotent write to the index's change log: a batch that
-runs again after a failure overwrites its own folder.
+Each micro-batch is one write to the index's change log under the name of its
+checkpoint, so several streams, and batches that run again, keep apart.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ def streaming_add(stream: DataFrame, spark, path: str, checkpoint: str, **trigge
     index = VectorIndex.load(spark, path)
 
     def write(batch: DataFrame, number: int) -> None:
-        log_added(index, path, batch, number)
+        log_added(index, path, batch, number, stream=checkpoint)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
@@ -25,7 +25,7 @@ def streaming_delete(stream: DataFrame, path: str, checkpoint: str, **trigger):
     """Remove the ids of a stream from the stored index."""
 
     def write(batch: DataFrame, number: int) -> None:
-        log_removed(path, batch, number)
+        log_removed(path, batch, number, stream=checkpoint)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

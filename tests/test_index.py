@@ -78,7 +78,7 @@ def test_saved_moved_and_loaded_index_answers_the_same(spark, base, queries, spe
     stored = index.save(str(tmp_path / "a"))
     assert rows_of(stored.search(queries, 5, 3)) == want
     (tmp_path / "a").rename(tmp_path / "b")
-    assert rows_of(ix.relocated(spark, str(tmp_path / "b")).search(queries, 5, 3)) == want
+    assert rows_of(ix.VectorIndex.load(spark, str(tmp_path / "b")).search(queries, 5, 3)) == want
     again = ix.VectorIndex.from_bytes(index.to_bytes(), index.postings)
     assert rows_of(again.search(queries, 5, 3)) == want
 
@@ -126,9 +126,16 @@ def test_streams_change_and_query_the_index(spark, base, queries, tmp_path):
     # an id may come back after it was removed
     ix.log_added(loaded, path, base.filter("id = 7"), 99)
     assert ix.VectorIndex.load(spark, path).ntotal == 151
-    # a batch that runs again replaces what it wrote
+    # a batch that runs again changes nothing, also after a later removal
     ix.log_added(loaded, path, base.filter("id = 7"), 99)
     assert ix.VectorIndex.load(spark, path).ntotal == 151
+    ix.log_removed(path, base.filter("id = 7").select("id"), 100)
+    ix.log_added(loaded, path, base.filter("id = 7"), 99)
+    assert ix.VectorIndex.load(spark, path).ntotal == 150
+    # another writer counts its batches on its own
+    ix.log_added(loaded, path, base.filter("id = 7"), 99, stream="other")
+    assert ix.VectorIndex.load(spark, path).ntotal == 151
+    ix.log_removed(path, base.filter("id = 7").select("id"), 101)
     asked = str(tmp_path / "asked")
     queries.repartition(2).write.parquet(asked)
     answers = str(tmp_path / "answers")
@@ -138,6 +145,22 @@ def test_streams_change_and_query_the_index(spark, base, queries, tmp_path):
     assert rows_of(got) == rows_of(ix.VectorIndex.load(spark, path).search(queries, 3, 2))
 
 
+def test_index_is_saved_without_session_settings(spark, base, queries, tmp_path):
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    spark.conf.set(key, "false")
+    try:
+        index = cells(spark, base)
+        assert rows_of(index.save(str(tmp_path / "plain")).search(queries, 4, 2)) == rows_of(index.search(queries, 4, 2))
+    finally:
+        spark.conf.set(key, "true")
+
+
+def test_ids_go_on_after_the_highest(spark, base):
+    left = cells(spark, base).remove_ids(F.col("id").between(3, 9))
+    ids = [r["id"] for r in left.add(base.filter("id < 5"), ["id"]).postings.select("id").collect()]
+    assert len(ids) == len(set(ids)) and max(ids) == 204
+
+
 def test_catalog(spark, vectors):
     catalog = ix.IndexCatalog(spark, scratch_path(spark, "catalog"))
     items = spark.createDataFrame([(0, "a"), (1, "b")], "id long, text string")

@@ -55,8 +55,7 @@ def test_copies_are_one_set_with_many_members(texts):
 
 
 def test_bands_have_no_false_pairs_and_good_recall(texts):
-    long_rows = [(i, x) for i, x in corpus() if len(set(x.split(" "))) > setjoin.MIN_WORDS]
-    exact = brute_pairs(long_rows, 0.6)
+    exact = brute_pairs(corpus(), 0.6)
     got = {(r["a"], r["b"]) for r in setjoin.minhash_lsh_join(texts, None, 0.6).collect()}
     assert got <= exact and len(got) >= 0.8 * len(exact)
 
@@ -144,3 +143,33 @@ def test_base64(spark):
 
 def test_band_layout_moves_with_the_threshold():
     assert setjoin.band_layout(0.9, 128)[1] > setjoin.band_layout(0.3, 128)[1]
+
+
+def test_document_pairs_hold_every_copy(spark, texts):
+    rows = [(i, set(x.split(" "))) for i, x in corpus()]
+    want = {(a, b) for a, wa in rows for b, wb in rows if a < b and len(wa & wb) / len(wa | wb) > 0.6}
+    assert {(r["a"], r["b"]) for r in setjoin.jaccard_documents(texts, 0.6).collect()} == want
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in want:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = setjoin.families(setjoin.jaccard_join(texts, None, 0.6), setjoin.distinct_sets(texts)[1])
+    assert {r["id"]: r["family"] for r in got.collect()} == {i: find(i) for i, _ in rows}
+
+
+def test_sample_draws_from_all_copies(spark):
+    rows = spark.createDataFrame([(i, "one two three four", "one two three four") for i in range(40)], "id long, text string, lemma string")
+    got = setjoin.text_neighbours(rows.filter("id < 6"), rows, 3, 0.4, 0.2, mode="sample").collect()
+    assert len(got) == 18 and len({r["id"] for r in got}) > 8
+
+
+def test_bfs_runs_to_the_end(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(14)], "src long, dst long")
+    seeds = spark.createDataFrame([(0,)], "id long")
+    assert setjoin.bfs(chain, seeds).count() == 15 and setjoin.bfs(chain, seeds, 3).count() == 4
