@@ -1,10 +1,10 @@
-"""Queries: secrets, licenses and repeated lines."""
+"""Queries: secrets, licenses and repeated text."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, secrets
+from . import licenses, linededup, secrets, suffixdedup
 from .catalog import query, table
 
 OP3_SQL = r"""
@@ -52,3 +52,9 @@ def op8_line_dedup(spark, sf_dir):
 @query("op7_license_scan")
 def op7_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark, sf_dir):
+    found = suffixdedup.byte_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
