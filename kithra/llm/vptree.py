@@ -20,7 +20,7 @@ from ..session import ship_package
 SHARD_ROWS = 32768  # base rows of a tree, a bound on a task's memory
 BLOCK_ROWS = 8192  # queries that one task asks together
 LEAF_ROWS = 1024
-STRETCH = 2.0
+STRETCH = 1.05
 MARGIN = 16  # results kept beyond k until scores are computed again
 SLACK = 1e-7  # of an angle, for rounding
 
