@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import kernels
+from ..session import materialize
 
 BROADCAST_BYTES = 64 << 20
 QUERY_BLOCK = 1 << 16
@@ -130,6 +131,12 @@ def _broadcast_form(queries, base, metric, k, radius, query_vector, base_vector)
     return rows.mapInArrow(scan, PAIR)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """Rows that Python makes (probes, codes) are written before they are counted and joined; scans are read twice instead."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialize(df, "rows") if "InArrow" in plan or "InPandas" in plan else df
+
+
 def block_counts(df: DataFrame, group: str, rows: int, name: str) -> DataFrame:
     """Number of blocks of at most about ``rows`` rows per group."""
     return df.groupBy(group).agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias(name))
@@ -168,8 +175,8 @@ def grid(left: DataFrame, right: DataFrame, group: str, left_rows: int, right_ro
 
 def _grid_form(queries, base, metric, k, radius, group, query_vector, base_vector, query_block, base_block):
     key = F.lit(0) if group is None else F.col(group)
-    left = queries.select(key.alias("_g"), F.col("query_id").cast("long"), F.col(query_vector).alias("v"))
-    right = base.select(key.alias("_g"), F.col("id").cast("long"), F.col(base_vector).alias("v"))
+    left = computed_once(queries.select(key.alias("_g"), F.col("query_id").cast("long"), F.col(query_vector).alias("v")))
+    right = computed_once(base.select(key.alias("_g"), F.col("id").cast("long"), F.col(base_vector).alias("v")))
     # rows of one id (an image's descriptors) spread over the blocks as well
     left, right = grid(left, right, "_g", query_block, base_block, F.xxhash64("query_id", "v"), F.xxhash64("id", "v"))
 

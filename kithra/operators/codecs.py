@@ -449,14 +449,20 @@ def residual_postings(base, centroids: np.ndarray) -> DataFrame:
 
 def ivfpq_knn(queries, coded: DataFrame, centroids, book: Codebook, k: int, nprobe: int = 1, **options) -> DataFrame:
     """``coded`` is ``(list_id, id, codes)`` with codes of the residuals."""
+    from .ivf import probed_only
+
     metric = kernels.AsymmetricCode(book.parts)
-    return search(residual_probe(queries, centroids, nprobe), coded, k, metric, group="list_id", base_vector="codes", **options)
+    asked = materialize(residual_probe(queries, centroids, nprobe), "probes")
+    return search(asked, probed_only(asked, coded), k, metric, group="list_id", base_vector="codes", **options)
 
 
 def ivfsq_knn(queries, coded, centroids, codec: ScalarQuantizer, k: int, nprobe: int = 1, **options) -> DataFrame:
     """``coded`` is ``(list_id, id, codes)`` with scalar codes of the residuals."""
-    decoded = codec.decode(coded).select("list_id", "id", "vector")
-    return search(residual_probe(queries, centroids, nprobe), decoded, k, "l2", group="list_id", **options)
+    from .ivf import probed_only
+
+    asked = materialize(residual_probe(queries, centroids, nprobe), "probes")
+    decoded = codec.decode(probed_only(asked, coded)).select("list_id", "id", "vector")
+    return search(asked, decoded, k, "l2", group="list_id", **options)
 
 
 def refine_codes(found, queries, coded2, centroids, first: Codebook, second: Codebook, k: int) -> DataFrame:

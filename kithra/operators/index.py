@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
+from ..session import materialize
 from . import codecs, ivf, knn
 from .blockjoin import block_join, search, small_side
 from .codebooks import Codebook, assign
@@ -260,24 +261,29 @@ class VectorIndex:
             first = replace(self, second=None).search(queries, k * k_factor, nprobe, **options)
             found = self.postings.join(small_side(first.select("id").distinct()), "id", "left_semi")
             return knn.refine(first, asked, self._decoded(found).select("id", "vector"), k, kernel)
+        postings = self.postings
         if group:
-            asked = self._probe(asked, nprobe)
+            # only the probed cells are read, decoded and compared
+            asked = materialize(self._probe(asked, nprobe), "probes")
+            postings = ivf.probed_only(asked, postings)
         if isinstance(self.codec, Codebook) and self.metric == "l2":
             if self.by_residual:
                 asked = self._with_centre(asked).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
             metric = kernels.AsymmetricCode(self.codec.parts)
-            return search(asked, self.postings, k, metric, group=group, base_vector="codes", **options)
-        return search(asked, self._decoded(self.postings), k, kernel, group=group, **options)
+            return search(asked, postings, k, metric, group=group, base_vector="codes", **options)
+        return search(asked, self._decoded(postings), k, kernel, group=group, **options)
 
     def range_search(self, queries: DataFrame, radius: float, nprobe: int | None = None) -> DataFrame:
         """``(query_id, id, distance)`` of the rows nearer than ``radius``."""
         asked = self._prepare(queries)
         kernel = "ip" if self.metric == "cosine" else self.metric
         group = None
-        if self.coarse is not None:
+        postings = self.postings
+        if self.coarse is not None and nprobe and nprobe < self.coarse.ks ** self.coarse.m:
             group = "list_id"
-            asked = self._probe(asked, nprobe or self.coarse.ks ** self.coarse.m)
-        return block_join(asked, self._decoded(self.postings), kernel, radius=radius, group=group)
+            asked = materialize(self._probe(asked, nprobe), "probes")
+            postings = ivf.probed_only(asked, postings)
+        return block_join(asked, self._decoded(postings), kernel, radius=radius, group=group)
 
     def search_deduplicated(self, queries: DataFrame, k: int, members: DataFrame, nprobe: int = 1) -> DataFrame:
         """Search representatives, then name their members ``(rep, id)``."""

@@ -15,11 +15,15 @@ from pyspark.sql.window import Window
 
 from ..functions import arrays, kernels
 from ..functions.arrowmap import with_arrow_column
+from ..session import materialize
 from . import skew
 from .blockjoin import search
 from .codebooks import Codebook, assign
 
 
+PRUNE_CELLS = 4096
+
+
 def probe(queries: DataFrame, centroids: np.ndarray, nprobe: int, metric="l2") -> DataFrame:
     """``(query_id, vector, list_id)``, one row per probed cell."""
     centroids = np.asarray(centroids, float)
@@ -50,7 +54,17 @@ def ivf_knn(queries, postings, centroids, k: int, nprobe: int = 1, metric="l2",
     if metric == "cosine":
         queries = queries.withColumn("vector", arrays.l2_normalize("vector"))
         postings = postings.withColumn("vector", arrays.l2_normalize("vector"))
-    return search(probe(queries, centroids, nprobe, metric), postings, k, kernel, group="list_id", **options)
+    asked = materialize(probe(queries, centroids, nprobe, metric), "probes")
+    return search(asked, probed_only(asked, postings), k, kernel, group="list_id", **options)
+
+
+def probed_only(asked: DataFrame, postings: DataFrame) -> DataFrame:
+    """Postings of the cells that written probes ask for, by a filter that reaches the scan.
+
+    Where more cells are asked for than a filter should list, all are read.
+    """
+    cells = [r["list_id"] for r in asked.select("list_id").distinct().limit(PRUNE_CELLS + 1).collect()]
+    return postings.filter(F.col("list_id").isin(cells)) if len(cells) <= PRUNE_CELLS else postings
 
 
 def probe_stats(queries, postings, centroids, nprobe: int = 1, metric="l2") -> DataFrame:
@@ -155,6 +169,6 @@ def hamming_cells(rows: DataFrame, centroids: DataFrame, key: str, nprobe: int,
 
 
 def hamming_ivf_knn(queries, base, centroids: DataFrame, k: int, nprobe: int = 1, **options) -> DataFrame:
-    asked = hamming_cells(queries, centroids, "query_id", nprobe)
-    postings = hamming_cells(base, centroids, "id", 1)
-    return search(asked, postings, k, "hamming", group="list_id", **options)
+    asked = materialize(hamming_cells(queries, centroids, "query_id", nprobe), "probes")
+    postings = materialize(hamming_cells(base, centroids, "id", 1), "postings")
+    return search(asked, probed_only(asked, postings), k, "hamming", group="list_id", **options)
