@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import kernels
+from ..functions.arrowmap import with_arrow_column
 from ..functions.strings import normalize_question, words
 from . import skew
 from .ordinal import with_ordinal
@@ -129,14 +135,20 @@ def hashed_bag(texts: DataFrame, dim: int = 256, key="id", text="text") -> DataF
 
 
 def hashed_words(texts: DataFrame, dim: int = 64, key="id", text="text") -> DataFrame:
-    """``(key, vector)``: counts of words per hash bucket, whole text, no training."""
-    from ..functions.hashing import token_hash31
+    """``(key, vector)``: counts of words per hash bucket, whole text, no training.
 
-    tokens = texts.select(key, F.explode(words(text)).alias("word"))
-    cells = tokens.groupBy(key, (token_hash31(F.col("word")) % dim).cast("int").alias("dim")).agg(F.count("*").alias("n"))
-    maps = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("dim", F.col("n").cast("double")))).alias("m"))
-    return maps.select(key, F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("vector"))
+    Row by row, without a shuffle; a batch's different words are hashed once.
+    """
+    def count(column: pa.Array) -> pa.Array:
+        coded = column.flatten().dictionary_encode()
+        hashes = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) & 0x7FFFFFFF for w in coded.dictionary.to_pylist()]
+        bucket = np.array(hashes, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] % dim if hashes else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+        cells = np.bincount(row * dim + bucket, minlength=len(column) * dim).astype(float)
+        return kernels.list_array(cells.reshape(len(column), dim), pa.float64())
+
+    rows = texts.filter(F.col(text).isNotNull()).select(key, words(text).alias("_words"))
+    return with_arrow_column(rows, "vector", "array<double>", "_words", count).select(key, "vector")
 
 
 ENCODERS = {"hashed_words": hashed_words, "hashed_bag": hashed_bag}

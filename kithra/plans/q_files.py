@@ -40,16 +40,21 @@ def _(t: Tables):
     return vecs.read_bvecs(t.spark, path)
 
 
-@query("benchmark_folder", "SELECT 'base' AS part, count(*) AS n FROM embeddings UNION ALL SELECT 'query', count(*) FROM embeddings UNION ALL SELECT 'truth', count(*) FROM embeddings")
+PLACED = "p AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, embedding::DOUBLE[] AS vector FROM embeddings)"
+
+
+@query("benchmark_folder", f"""WITH {PLACED} SELECT 'base' AS part, id, vector FROM p UNION ALL SELECT 'query', id, list_transform(vector, lambda x: -x) FROM p
+  UNION ALL SELECT 'truth', id, [vec_id::DOUBLE] FROM p""")
 def _(t: Tables):
     root = scratch_path(t.spark, "bench")
     vecs.write_fvecs(t.vectors, f"{root}/emb/emb_base.fvecs")
-    vecs.write_fvecs(scaled(t.vectors, "id"), f"{root}/emb/emb_query.fvecs")
+    vecs.write_fvecs(t.vectors.select("id", F.transform("vector", lambda x: -x).alias("vector")), f"{root}/emb/emb_query.fvecs")
     vecs.write_ivecs(t.vectors.select("id", F.array(F.col("id").cast("int")).alias("vector")), f"{root}/emb/20_emb_euclid_groundtruth.ivecs")
     base, train, queries, truth = vecs.load_benchmark(t.spark, root, "emb")
     if train is not None:
         raise ValueError("no training file was written")
-    return splits.union(*[d.agg(F.count("*").alias("n")).select(F.lit(n).alias("part"), "n") for n, d in (("base", base), ("query", queries), ("truth", truth))])
+    parts = (("base", base), ("query", queries), ("truth", truth))
+    return splits.union(*[d.select(F.lit(n).alias("part"), "id", F.col("vector").cast("array<double>").alias("vector")) for n, d in parts])
 
 
 @query("kv_embeddings", "SELECT 'v' || vec_id AS key, embedding AS vector FROM embeddings")
@@ -117,12 +122,12 @@ def _(t: Tables):
     return readers.read_id_text(t.spark, path)
 
 
-@query("lines_by_position", "SELECT count(*) AS n, min(id) AS low, max(id) AS high, count(DISTINCT id) AS ids FROM (SELECT row_number() OVER () - 1 AS id FROM documents)")
+@query("lines_by_position", r"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, rtrim(regexp_replace(text, '\s', ' ', 'g')) AS text FROM documents")
 def _(t: Tables):
     path = scratch_path(t.spark, "lines")
-    t.documents.select(F.regexp_replace("text", r"\s", " ")).write.text(path)
-    lines = readers.read_lines(t.spark, path)
-    return lines.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), F.countDistinct("id").alias("ids"))
+    ordered = t.documents.repartitionByRange("id").sortWithinPartitions("id")
+    ordered.select(F.regexp_replace("text", r"\s", " ")).write.text(path)
+    return readers.read_lines(t.spark, path)
 
 
 @query("question_pairs_csv", f"WITH {TURNS} SELECT question1, question2, (turn % 2)::INTEGER AS is_duplicate FROM turns")
