@@ -107,6 +107,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hashes(LOWER[data], starts, ends), at
 
 
+def run_hashes(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of word hashes from ``low`` up to ``high`` (order counts)."""
+    up, down = _powers(len(hashes))
+    running = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes) * up[:len(hashes)], out=running[1:])
+    return mix((running[high] - running[low]) * down[low] ^ mix((high - low).astype(np.uint64)))
+
+
 def chained(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` neighbouring word hashes (order counts)."""
     n = len(hashes) - width + 1

@@ -7,49 +7,81 @@ passage set into the middle of a line is found too.
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
+from . import bytewords
 from .hotjoin import hot_join
 
-BREAKS = {
-    "line": re.compile("\n"),
-    "paragraph": re.compile("\n[\x20\x09-\x0d]*\n"),
-    "sentence": re.compile("\n|(?<=[.!?])[\x20\t]+"),
-}
-UNITS = ("line", "sentence")
+UNITS = ("line", "sentence")  # or "paragraph"
 MIN_WORDS = 5  # units of fewer words are never removed
-FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-BLANK = re.compile("[\x20\x09-\x0d]+")
+STOP = np.zeros(256, bool)  # a sentence ends where blanks follow one of these
+STOP[list(b".!?")] = True
+BLANK = np.zeros(256, bool)
+BLANK[list(b" \t")] = True
 
 
-def pieces(text: str, unit: str) -> Iterator[tuple[int, int]]:
-    """Start and end of each unit; the breaks belong to none."""
-    start = 0
-    for gap in BREAKS[unit].finditer(text):
-        yield start, gap.start()
-        start = gap.end()
-    yield start, len(text)
+def breaks(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the bytes between two units; a text's end is a break of no bytes.
 
-
-def digest(piece: str, min_words: int) -> bytes | None:
-    """128 bits of the unit with A-Z as a-z and white space as one blank; None if it is short."""
-    words = [w for w in BLANK.split(piece.translate(FOLD)) if w]
-    if len(words) < max(min_words, 1):
-        return None
-    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    Lines end at line feeds, sentences also at the blanks after ``.``, ``!`` or
+    ``?``, paragraphs at white space from one line feed to another.
+    """
+    text_start = np.zeros(len(data) + 1, bool)
+    text_start[offsets] = True
+    if unit == "paragraph":
+        space = bytewords.SPACE[data]
+        first = space & ~np.append(False, space[:-1]) | space & text_start[:-1]
+        run = np.cumsum(first) - 1
+        feeds = np.flatnonzero(data == 10)
+        owner, low = np.unique(run[feeds], return_index=True)
+        high = np.append(low[1:], len(feeds)) - 1
+        many = high > low
+        starts, ends = feeds[low[many]], feeds[high[many]] + 1
+    else:
+        starts = np.flatnonzero(data == 10)
+        ends = starts + 1
+        if unit == "sentence" and len(data):
+            blank = BLANK[data]
+            begins = np.flatnonzero(blank & np.append(False, STOP[data[:-1]]) & ~text_start[:-1])
+            # a run of blanks ends before the next byte that is none, or with the text
+            other = np.flatnonzero(np.append(~blank, True) | text_start)
+            starts = np.concatenate([starts, begins])
+            ends = np.concatenate([ends, other[np.searchsorted(other, begins, side="right")]])
+    starts, ends = np.concatenate([starts, offsets]), np.concatenate([ends, offsets])
+    order = np.lexsort((ends, starts))
+    return starts[order], ends[order]
+
+
+def unit_rows(data: np.ndarray, offsets: np.ndarray, kinds, min_words: int):
+    """(text, start, end, digests) of the units that may be removed: byte offsets, and two 64-bit hashes of each.
+
+    The hashes are of the unit's words, with A-Z as a-z, whatever white space
+    lies between them.  A sentence that is a whole line is taken once.
+    """
+    spans = []
+    for unit in kinds:
+        starts, ends = breaks(data, offsets, unit)
+        spans.append(np.stack([ends[:-1], starts[1:]], axis=1))
+    spans = np.unique(np.concatenate(spans), axis=0)
+    spans = spans[spans[:, 0] < spans[:, 1]]
+    word_starts, word_ends, _ = bytewords.word_spans(data, offsets)
+    words = bytewords.span_hashes(bytewords.LOWER[data], word_starts, word_ends)
+    low, high = np.searchsorted(word_starts, spans[:, 0]), np.searchsorted(word_starts, spans[:, 1])
+    enough = high - low >= max(min_words, 1)
+    spans, low, high = spans[enough], low[enough], high[enough]
+    digests = [bytewords.run_hashes(words ^ np.uint64(salt), low, high) for salt in (0, 0x3C6EF372FE94F82B)]
+    return np.searchsorted(offsets, spans[:, 0], side="right") - 1, spans[:, 0], spans[:, 1], digests
 
 
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds=UNITS, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, told, start, end, digest): the units that may be removed, with code point offsets.
 
-    ``told`` tells rows of one key apart.  A sentence that is a whole line is
-    taken once, as the line.
+    ``told`` tells rows of one key apart.
     """
     ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
@@ -57,30 +89,21 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds=UNITS,
 
     def cut(batches):
         for batch in batches:
-            keep, starts, ends, digests = [], [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                for start, end in sorted({span for unit in kinds for span in pieces(text, unit)}):
-                    found = digest(text[start:end], min_words)
-                    if found is not None:
-                        keep.append(row)
-                        starts.append(start)
-                        ends.append(end)
-                        digests.append(found)
-                if len(keep) >= 20_000:
-                    yield _rows(batch, keep, starts, ends, digests)
-                    keep, starts, ends, digests = [], [], [], []
-            yield _rows(batch, keep, starts, ends, digests)
+            for first, _, data, offsets in bytewords.sliced(batch.column(2)):
+                row, starts, ends, digests = unit_rows(data, offsets, kinds, min_words)
+                # code points before a byte, counted from its text's start
+                points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+                origin = points[offsets[row]]
+                at = pa.array(row + first)
+                both = np.stack(digests, axis=1).tobytes()
+                packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(both)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array((points[starts] - origin).astype(np.int32)),
+                     pa.array((points[ends] - origin).astype(np.int32)), packed], ["key", "told", "start", "end", "digest"])
 
     return rows.mapInArrow(cut, f"key {kind}, told long, start int, end int, digest binary")
 
 
-def _rows(batch, keep, starts, ends, digests):
-    at = pa.array(keep, pa.int64())
-    columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(starts, pa.int32()),
-               pa.array(ends, pa.int32()), pa.array(digests, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["key", "told", "start", "end", "digest"])
-
-
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds=UNITS, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, told, spans): units of each row of which an earlier one stands elsewhere, as (start, end) in order.
 

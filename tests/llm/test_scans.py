@@ -2,8 +2,11 @@ import hashlib
 import re
 
 import duckdb
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from kithra.llm import licenses, linededup, q_text, secrets  # noqa: F401  (q_text registers the SQL)
+from kithra.llm import bytewords, licenses, linededup, q_text, secrets  # noqa: F401  (q_text registers the SQL)
 from kithra.llm.catalog import ORACLES
 
 TEXTS = [
@@ -102,13 +105,41 @@ LINES = [
 ]
 
 
+BREAKS = {
+    "line": re.compile("\n"), "paragraph": re.compile("\n[\x20\x09-\x0d]*\n"), "sentence": re.compile("\n|(?<=[.!?])[\x20\t]+")}
+
+
+def pieces(text, unit):
+    start = 0
+    for gap in BREAKS[unit].finditer(text):
+        yield start, gap.start()
+        start = gap.end()
+    yield start, len(text)
+
+
+def normal(piece):
+    """The unit's words, or None if they are few."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), piece))
+    return tuple(found) if len(found) >= linededup.MIN_WORDS else None
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("ab.!? \t\n\r\x0bé𝄞"), max_size=25), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_units_of_bytes_equal_patterns(texts):
+    for unit in BREAKS:
+        data, offsets = bytewords.texts_of(pa.array(texts, pa.string()))
+        row, starts, ends, _ = linededup.unit_rows(data, offsets, (unit,), 1)
+        got = [(r, data[a:b].tobytes().decode()) for r, a, b in zip(row.tolist(), starts.tolist(), ends.tolist())]
+        assert got == [(r, t[a:b]) for r, t in enumerate(texts) for a, b in pieces(t, unit) if t[a:b].strip(" \t\n\r\x0b\x0c")]
+
+
 def brute_lines(rows):
     """Removed spans of each distinct row, by one pass over all units in rank order."""
     units = []
     for key, text in {(k, t) for k, t in rows}:
         for unit in ("line", "sentence"):
-            for a, b in linededup.pieces(text or "", unit):
-                d = linededup.digest((text or "")[a:b], linededup.MIN_WORDS)
+            for a, b in pieces(text or "", unit):
+                d = normal((text or "")[a:b])
                 if d:
                     units.append((d, key, text, a, b))
     out = {}
