@@ -11,6 +11,8 @@ nothing: leaving the same shingles out everywhere never adds a difference.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +28,6 @@ WIDTH = 3  # words of a shingle
 PERCENT = 90  # links at 100 * shared >= PERCENT * together
 PART_BITS = 1 << 24
 BAND_GROWTH = 1.3  # upper edge of a size band over its lower one
-SPARE = 2, 0.06  # parts beyond d + 1, and their share of d, so that empty parts need not propose pairs
 HOT_SAMPLE, HOT_TEXTS = 4096, 4  # a shingle in more than so many of so many sampled texts is left out of the sketches
 PAIR_UP = 32  # members of a group that are paired with each other at once
 CELL_ROWS, CELL_ELEMENTS, CELL_COLUMNS = 256, 200_000, 8192  # bounds of a block of members that are compared
@@ -51,41 +52,57 @@ def differing(top: int, percent: int) -> int:
     return 2 * top * (100 - percent) // (100 + percent)
 
 
-def spare(d: int) -> int:
-    return SPARE[0] + int(SPARE[1] * d)
+def part_values(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the parts that are not empty, and 32 bits for each; ``hashes`` is sorted."""
+    # the part grows with the hash, so a part's shingles are neighbours
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    cut = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    if not len(cut):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    # equal bits cancel, as they do in the sketch itself
+    value = np.bitwise_xor.reduceat(bytewords.mix(hashes & np.uint64(PART_BITS - 1)), cut)
+    return part[cut].astype(np.int64), (value ^ (value >> np.uint64(32))).astype(np.uint32)
+
 
+def spare(d: int, percent: int) -> int:
+    """Parts beyond d + 1: rather more than are empty by chance in the smallest set of a band."""
+    filled = percent / 100 / (BAND_GROWTH * 2 * (100 - percent) / (100 + percent))  # its shingles per part
+    return 2 + int(d * min(0.5, 0.03 + 2 * math.exp(-filled / 1.1)))
 
-def part_values(hashes: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 32-bit values of the parts that propose pairs; ``hashes`` is sorted.
 
-    Linked sets agree in more than ``spare(d)`` parts.  A set with no more
-    empty parts than that agrees in a part that is not empty, and needs to name
-    only those; another names them all.
+def named_parts(cold: np.ndarray, hashes: np.ndarray, d: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values by which the set proposes pairs among sets that differ in at most ``d`` elements.
+
+    Linked sets agree in more than ``spare`` parts.  If one of the two has no
+    more empty parts than that, they agree in a part that is not empty; so
+    parts that are not empty will do, but for sets with many empty ones.  Those
+    name the parts of a second sketch too, from which no shingle is left out,
+    and if many of these are empty as well, the empty ones with them.
     """
-    parts = d + 1 + spare(d)
-    # the part grows with the hash, so a part's shingles are neighbours
-    part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    value = np.zeros(parts, np.uint64)
-    cut = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
-    if len(cut):
-        # equal bits cancel, as they do in the sketch itself
-        value[part[cut].astype(np.int64)] = np.bitwise_xor.reduceat(bytewords.mix(hashes & np.uint64(PART_BITS - 1)), cut)
-    named = np.arange(parts)
-    if parts - len(cut) <= spare(d):
-        named = part[cut].astype(np.int64)
-    return named, (value[named] ^ (value[named] >> np.uint64(32))).astype(np.uint32)
+    more = spare(d, percent)
+    parts = d + 1 + more
+    places, values = part_values(cold, parts)
+    if parts - len(places) <= more:
+        return places, values
+    second = np.zeros(parts, np.uint32)
+    at, whole = part_values(hashes, parts)
+    second[at] = whole
+    if parts - len(at) > more:
+        at = np.arange(parts)
+    return np.concatenate([places, at + parts]), np.concatenate([values, second[at]])
 
 
 def sketch_parts(hashes: np.ndarray, edges: np.ndarray, percent: int, hot: np.ndarray):
     """The set's size band, then places and part values there, and in the next band if a set there may link to it."""
     n = len(hashes)
     band = int(np.searchsorted(edges, n, side="right")) - 1
+    cold = hashes
     if len(hot):
         at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-        hashes = hashes[hot[at] != hashes]
+        cold = hashes[hot[at] != hashes]
     none = np.zeros(0, np.int64), np.zeros(0, np.uint32)
     # a band is joined by its own sets and by smaller ones that reach percent of its lower edge
-    found = [part_values(hashes, differing(int(edges[k + 1]) - 1, percent))
+    found = [named_parts(cold, hashes, differing(int(edges[k + 1]) - 1, percent), percent)
              if k == band or 100 * n >= percent * int(edges[k]) else none for k in (band, band + 1)]
     return band, *found[0], *found[1]
 
