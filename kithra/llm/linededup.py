@@ -18,7 +18,7 @@ from . import bytewords
 from .hotjoin import hot_join
 
 UNITS = ("line", "sentence")  # or "paragraph"
-MIN_WORDS = 5  # units of fewer words are never removed
+MIN_WORDS = 1  # every unit that has a word; units of fewer words are never removed
 STOP = np.zeros(256, bool)  # a sentence ends where blanks follow one of these
 STOP[list(b".!?")] = True
 BLANK = np.zeros(256, bool)

@@ -173,3 +173,10 @@ def test_paragraphs_and_no_rows(documents):
     got = {r["doc_id"]: r["kept"] for r in linededup.dedup_lines(documents(rows), kinds=("paragraph",)).collect()}
     assert got == {1: rows[0][1], 2: "\n\nother"}
     assert linededup.dedup_lines(documents(rows).limit(0)).collect() == []
+
+
+def test_short_and_unspaced_units_go(documents):
+    unspaced, encoded = "这是一行没有空格的文字，很长很长，重复出现。", "data:" + "QUJD" * 40
+    rows = [(1, f"Menu\n{unspaced}\n{encoded}\nNo. Yes!"), (2, f" MENU \nnew\n{unspaced}"), (3, f"{encoded}\n\n \nYes! menu\nyes!"), (4, " \n\n")]
+    got = {r["doc_id"]: r["kept"] for r in linededup.dedup_lines(documents(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "\nnew\n", 3: "\n\n \n \n", 4: " \n\n"}
