@@ -123,8 +123,23 @@ def _piece_ids(tokenizer, pieces: list[str]) -> list[list[int]]:
     return out
 
 
-def _combines(data: np.ndarray) -> bool:
-    return bool(len(data)) and int(data.max()) >= 0xCC  # the first byte of U+0300 and above
+@lru_cache(maxsize=4)
+def _markers(path: str) -> tuple[bytes, ...]:
+    """The vocabulary's added tokens in lower case; they match a raw text, before its case is folded."""
+    return tuple(sorted({t.content.encode().lower() for t in _tokenizer(path).get_added_tokens_decoder().values() if t.content}))
+
+
+def _whole_rows(data: np.ndarray, offsets: np.ndarray, markers) -> list[int]:
+    """Texts that pieces do not fit: with U+0300 and above, which may combine, or an added token in any case."""
+    at = [np.flatnonzero(data >= 0xCC)] if len(data) and int(data.max()) >= 0xCC else []
+    low = LOWER[data].tobytes()
+    for marker in markers:
+        found, place = [], low.find(marker)
+        while place >= 0:
+            found.append(place)
+            place = low.find(marker, place + 1)
+        at.append(np.array(found, np.int64))
+    return np.unique(np.searchsorted(offsets, np.concatenate(at), side="right") - 1).tolist() if at else []
 
 
 def encode_texts(path: str, column: pa.Array, lower_words: bool):
@@ -132,6 +147,7 @@ def encode_texts(path: str, column: pa.Array, lower_words: bool):
 
     ``lower_words`` says that the vocabulary is one that
     ``word_tokenizer_pieces`` fits; each distinct piece is then encoded once.
+    Texts that hold an added token, in any case, are encoded whole.
     """
     tokenizer = _tokenizer(path)
     for first, last, data, offsets in sliced(column, SLICE_BYTES):
@@ -141,15 +157,14 @@ def encode_texts(path: str, column: pa.Array, lower_words: bool):
                 yield np.array(found.ids, np.uint32)
             continue
         whole = {}
-        if _combines(data):
+        rows = _whole_rows(data, offsets, _markers(path))
+        if rows:
             # such texts are encoded as they are; the rest of the slice goes on without them
-            lead = np.flatnonzero(data >= 0xCC)
-            rows = np.unique(np.searchsorted(offsets, lead, side="right") - 1)
-            for r in rows.tolist():
+            for r in rows:
                 text = data[offsets[r]:offsets[r + 1]].tobytes().decode()
                 whole[r] = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             data = data.copy()
-            for r in rows.tolist():
+            for r in rows:
                 data[offsets[r]:offsets[r + 1]] = 0x20
         pieces, at = word_tokenizer_pieces(data, offsets)
         coded = pieces.dictionary_encode()

@@ -63,3 +63,16 @@ def test_empty_table(spark, documents):
     path = scratch_path(spark, "tokens")
     tokenfiles.write_token_files(documents([(1, "x")]).limit(0), path, word_tokenizer(), lower_words=True)
     assert tokenfiles.read_checks(spark, path).collect() == []
+
+
+MARKERS = ["<|", "|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "EndOfText", " ", "A", "1", "!", "é", "日"]
+
+
+@given(st.lists(st.lists(st.sampled_from(MARKERS), max_size=6).map("".join), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_markers_of_any_case_give_the_ids_of_the_whole_text(texts):
+    import pyarrow as pa
+
+    texts = ["one <|ENDOFTEXT|> two", "Three<|EndOfText|>4", "<|endoftext|>", *texts, "<|StartOfText|>"]
+    got = [x.tolist() for x in tokenfiles.encode_texts(word_tokenizer(), pa.array(texts, pa.string()), True)]
+    assert got == [plain(t) for t in texts]
