@@ -27,7 +27,7 @@ from .hotjoin import hot_join, keep_ids
 WIDTH = 3  # words of a shingle
 PERCENT = 90  # links at 100 * shared >= PERCENT * together
 PART_BITS = 1 << 24
-BAND_GROWTH = 1.3  # upper edge of a size band over its lower one
+BAND_GROWTH = 1.3  # upper edge of a size band over its lower one, unless linked sets can be further apart
 HOT_SAMPLE, HOT_TEXTS = 4096, 4  # a shingle in more than so many of so many sampled texts is left out of the sketches
 PAIR_UP = 32  # members of a group that are paired with each other at once
 CELL_ROWS, CELL_ELEMENTS, CELL_COLUMNS = 256, 200_000, 8192  # bounds of a block of members that are compared
@@ -35,11 +35,15 @@ CELL_ROWS, CELL_ELEMENTS, CELL_COLUMNS = 256, 200_000, 8192  # bounds of a block
 
 # ------------------------------------------------------------------ sketches
 
-def bands(largest: int, growth: float = BAND_GROWTH) -> np.ndarray:
-    """Lower edges of the size bands up to ``largest``; each holds at least one size."""
+def bands(largest: int, percent: int = PERCENT) -> np.ndarray:
+    """Lower edges of the size bands up to ``largest``; each holds at least one size.
+
+    Linked sets lie in one band or in two neighbours: n elements link to
+    100 n / percent at most, and a band grows by that much at least.
+    """
     edges = [1]
     while edges[-1] <= largest:
-        edges.append(max(edges[-1] + 1, int(edges[-1] * growth)))
+        edges.append(max(edges[-1] + 1, int(edges[-1] * BAND_GROWTH), int(100 * edges[-1] // percent)))
     return np.array(edges, np.int64)
 
 
@@ -66,7 +70,7 @@ def part_values(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]
 
 def spare(d: int, percent: int) -> int:
     """Parts beyond d + 1: rather more than are empty by chance in the smallest set of a band."""
-    filled = percent / 100 / (BAND_GROWTH * 2 * (100 - percent) / (100 + percent))  # its shingles per part
+    filled = percent / 100 / (max(BAND_GROWTH, 100 / percent) * 2 * (100 - percent) / (100 + percent))  # its shingles per part
     return 2 + int(d * min(0.5, 0.03 + 2 * math.exp(-filled / 1.1)))
 
 
@@ -145,14 +149,14 @@ def sketched(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
     shared = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, text, width))
 
     def run(batches):
-        edges = bands(1 << 10)
+        edges = bands(1 << 10, percent)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
                 sizes, prints, parts = [], [], []
                 for found in bytewords.shingle_sets(part.column(1), width):
                     if len(found) * 2 > edges[-2]:
-                        edges = bands(len(found) * 4)
+                        edges = bands(int(400 * len(found) // percent), percent)
                     sizes.append(len(found))
                     # sums over the set in two independent mixes: order and batches do not matter
                     prints.append(np.array([found.sum(), bytewords.mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()], np.uint64).tobytes())

@@ -114,3 +114,25 @@ def test_components_of_chains(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 99: 99, 100: 99, 101: 99, 150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("percent", [1, 10, 33, 50, 70, 76, 77, 80, 90])
+def test_linked_sizes_lie_in_neighbouring_bands(percent):
+    edges = ngramjoin.bands(100 * 3000 // percent, percent)
+    small = np.arange(1, 3000)
+    apart = np.searchsorted(edges, 100 * small // percent, side="right") - np.searchsorted(edges, small, side="right")
+    assert apart.max() <= 1
+
+
+@pytest.mark.parametrize("percent", [10, 50])
+def test_links_of_far_sizes(documents, percent):
+    rng = random.Random(percent)
+    rows = []
+    for f in range(12):
+        words = [f"w{f}x{i}" for i in range(2 + rng.randint(5, 20) * 100 // percent)]
+        rows += [(10 * f, " ".join(words)), (10 * f + 1, " ".join(words[:2 + -(-(len(words) - 2) * percent // 100)]))]
+        rows += [(10 * f + 2, " ".join(words[:1 + (len(words) - 2) * percent // 200]))]
+    rows += [(990, " ".join(f"long{i}" for i in range(402))), (991, " ".join(f"long{i}" for i in range(2 + 4 * percent)))]
+    got = {r["doc_id"]: r["component_id"] for r in ngramjoin.ngram_jaccard_classes(documents(rows), percent=percent).collect()}
+    assert got == brute(rows, ngramjoin.WIDTH, percent)
+    assert got[1] == 0 and got[991] == 990
