@@ -190,8 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           train_docs: int = TRAIN_DOCS, seed: int = 0) -> Model:
     """Fit on at most ``train_docs`` labelled documents that are not held out, the smallest by a hash of the key.
 
-    The sample is also bounded by ``TRAIN_BYTES`` of text; texts in it are
-    whole.  A key with several labels counts with the larger.
+    The sample is also bounded by ``TRAIN_BYTES`` of text: texts in it are
+    whole, one that does not fit is passed over.  A key with several labels
+    counts with the larger, one with several texts with one of them.
     """
     ship_package(docs.sparkSession)
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
@@ -212,15 +213,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                     ["_at", "_key", "_label", "n", "features"])
 
     kind = docs.schema[key].dataType.simpleString()
-    encoded = rows.withColumn("_size", F.coalesce(F.octet_length("_text"), F.lit(0)))
-    from pyspark.sql.window import Window
-
-    # the sample has at most train_docs rows, so its running size is one small window
-    upto = F.sum("_size").over(Window.orderBy("_at", "_key", "_size").rowsBetween(Window.unboundedPreceding, 0))
-    kept = encoded.select("_at", "_key", "_size", F.xxhash64("_text").alias("_told")).withColumn("_upto", upto)
-    kept = kept.filter(F.col("_upto") <= TRAIN_BYTES).select("_key", "_told").distinct()
-    encoded = encoded.join(F.broadcast(kept.withColumnRenamed("_key", "_k")),
-                           (F.col("_key") == F.col("_k")) & F.xxhash64("_text").eqNullSafe(F.col("_told")))
+    told = F.xxhash64("_text")
+    size = F.coalesce(F.octet_length("_text"), F.lit(0))
+    sized = rows.groupBy("_key").agg(F.min("_at").alias("_at"), F.min(F.struct(told.alias("told"), size.alias("size"))).alias("s"))
+    # one row per key, so at most train_docs; a text that does not fit is passed over, and the next ones may fit
+    kept, left = [], TRAIN_BYTES
+    for r in sized.orderBy("_at", "_key").select("_key", "s.told", "s.size").collect():
+        if r["size"] <= left:
+            kept.append((r["_key"], r["told"]))
+            left -= r["size"]
+    chosen = docs.sparkSession.createDataFrame(kept, f"_k {rows.schema['_key'].dataType.simpleString()}, _told long")
+    encoded = rows.join(F.broadcast(chosen), (F.col("_key") == F.col("_k")) & (told == F.col("_told"))).dropDuplicates(["_key"])
     found = encoded.select("_at", "_key", "_label", "_text").mapInArrow(
         encode, f"_at long, _key {kind}, _label int, n long, features binary").collect()
     found.sort(key=lambda r: (r["_at"], r["_key"], r["n"], bytes(r["features"])))

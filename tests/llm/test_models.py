@@ -129,6 +129,19 @@ def test_gradients():
             assert (loss(up) - loss(down)) / 2e-5 == pytest.approx(grad[at], rel=1e-3, abs=1e-8)
 
 
+def test_a_long_text_does_not_end_the_sample(spark, documents, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 4000)
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda features, n, labels, seed=0: taken.append((len(n), int(sum(labels)))))
+    keys = spark.range(60).filter(~quality.held_out("id")).orderBy(quality.keyed_hash("id", seed=0), "id").limit(20)
+    first, *rest = [r["id"] for r in keys.collect()]
+    # the first in the sample's order does not fit; one key has many rows, two of them equal
+    rows = [(first, "long " * 1000), *[(k, f"text {k}") for k in rest], *[(rest[0], "other " * i) for i in range(80)], (rest[0], "text again"), (rest[0], "text again")]
+    labels = spark.createDataFrame([(k, 1) for k in [first, *rest]], "doc_id long, quality int")
+    quality.train(documents(rows), labels)
+    assert taken == [(len(rest), len(rest))]
+
+
 def test_scores_of_odd_texts(spark, documents):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "word " * 100000), (None, "x"), (5, "same"), (5, "same"), (6, "é𝄞!")]
     df = documents(rows)
