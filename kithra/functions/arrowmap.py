@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -25,3 +26,16 @@ def with_arrow_column(df: DataFrame, name: str, data_type: str, source: str, com
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [column], names + [name])
 
     return df.mapInArrow(run, T.StructType(kept + [result]))
+
+
+def add_arrays(partials: DataFrame, keys: list[str], counts: list[str], vector: str) -> DataFrame:
+    """One row per ``keys``: the sums of ``counts`` and of the equally long arrays ``vector``, component by component.
+
+    Partials stay one row each; no row per component is made.  They are added
+    in sorted order, so the result does not depend on how they arrive.
+    """
+    every = F.sort_array(F.collect_list(vector))
+    merged = partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], every.alias(vector))
+    total = F.aggregate(
+        F.slice(vector, F.lit(2), F.size(vector)), F.get(vector, F.lit(0)), lambda s, x: F.zip_with(s, x, lambda a, b: a + b))
+    return merged.withColumn(vector, total)

@@ -6,19 +6,20 @@ names only, so it can be moved:
 
     meta/      one row: dimension, metric, kinds of the trained parts
     model/     (component, i, values): centroids, codebooks, matrices
-    postings/  (list_id, id, vector | codes), laid out by list_id
-    log/       rows added or removed since, one folder per streaming batch
+    cells/     (parent, list_id, centre), where the cells have two levels
+    postings/  (list_id, id, vector | codes), in folders of neighbouring cells
+    log/       rows added or removed since, one folder per batch of a writer
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 from dataclasses import dataclass, field, replace
-from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,10 @@ from ..session import materialize
 from . import codecs, ivf, knn
 from .blockjoin import block_join, search, small_side
 from .codebooks import Codebook, assign
+from .layout import read_stored, write_stored
 from .linear import Chain, L2Norm, Linear, Pad, Remap
 from .ordinal import with_ordinal
+from .routing import RoutedCells, routed_from
 
 NO_LIST = 0  # list of an index without cells
 
@@ -54,14 +57,21 @@ class VectorIndex:
     dim: int
     metric: str = "l2"
     transform: Chain = field(default_factory=Chain)
-    coarse: Codebook | None = None
+    coarse: Codebook | RoutedCells | None = None
     codec: object | None = None
     second: Codebook | None = None
     postings: DataFrame | None = None
     spec: str = ""
+    stored: DataFrame | None = None  # the same rows as they lie on disk, with their folder
 
     # ------------------------------------------------------------- building
 
+    @property
+    def nlist(self) -> int:
+        if self.coarse is None:
+            return 1
+        return self.coarse.nlist if isinstance(self.coarse, RoutedCells) else self.coarse.ks ** self.coarse.m
+
     @property
     def by_residual(self) -> bool:
         """Codes inside cells describe the residual to the cell's centroid."""
@@ -76,6 +86,8 @@ class VectorIndex:
         """Adds the row's cell."""
         if self.coarse is None:
             return rows.withColumn("list_id", F.lit(NO_LIST).cast("long"))
+        if isinstance(self.coarse, RoutedCells):
+            return self.coarse.assign(rows, self.metric in ("ip", "cosine"))
         if self.coarse.m > 1:
             return ivf.imi_cells(rows, self.coarse)
         if self.metric in ("ip", "cosine"):
@@ -88,6 +100,8 @@ class VectorIndex:
     def _with_centre(self, rows: DataFrame) -> DataFrame:
         """Adds ``_centre``, the centroid of the row's cell."""
         book = self.coarse
+        if isinstance(book, RoutedCells):
+            return book.with_centre(rows)
         if book.m == 1:
             table = book.to_rows(self.spark).select(F.col("code").cast("long").alias("list_id"), F.col("word").alias("_centre"))
             return rows.join(F.broadcast(table), "list_id")  # a model of checked size
@@ -104,11 +118,14 @@ class VectorIndex:
 
     def encode(self, rows: DataFrame) -> DataFrame:
         """``(id, vector)`` → postings rows."""
-        rows = self._cells(self._prepare(rows))
+        rows = self._prepare(rows)
+        routed = self.by_residual and isinstance(self.coarse, RoutedCells)
+        # a row that meets its cell's centroid takes it along
+        rows = self.coarse.assign(rows, self.metric in ("ip", "cosine"), centre=True) if routed else self._cells(rows)
         if self.codec is None:
             return rows.select(*self._columns())
         if self.by_residual:
-            rows = self._with_centre(rows).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
+            rows = (rows if routed else self._with_centre(rows)).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
         rows = self.codec.encode(rows, "vector", "codes")
         if self.second:
             rows = self.codec.decode(rows, "codes", "_known")
@@ -118,7 +135,7 @@ class VectorIndex:
 
     def add_with_ids(self, rows: DataFrame) -> "VectorIndex":
         new = self.encode(rows)
-        return replace(self, postings=new if self.postings is None else self.postings.unionByName(new))
+        return self._with(new if self.postings is None else self.postings.unionByName(new))
 
     def add(self, rows: DataFrame, order: list) -> "VectorIndex":
         """Append ``vector`` rows; ids go on after the highest one, in the given order."""
@@ -138,7 +155,7 @@ class VectorIndex:
         return 0 if top is None else top + 1
 
     def _with(self, postings: DataFrame) -> "VectorIndex":
-        return replace(self, postings=postings)
+        return replace(self, postings=postings, stored=None)
 
     def remove_ids(self, ids: DataFrame | Column) -> "VectorIndex":
         """Remove the ids of a table, or the rows a boolean column selects; other ids stay."""
@@ -186,10 +203,20 @@ class VectorIndex:
 
     def merge(self, other: "VectorIndex", id_offset: int = 0) -> "VectorIndex":
         """Take over the rows of an index with the same trained model, ids shifted."""
-        if other.model_arrow().to_pydict() != self.model_arrow().to_pydict():
+        if other.model_arrow().to_pydict() != self.model_arrow().to_pydict() or not self._same_cells(other):
             raise ValueError("merging needs the same trained model")
         return self._with(self.postings.unionByName(other.postings.withColumn("id", F.col("id") + id_offset)))
 
+    def _same_cells(self, other: "VectorIndex") -> bool:
+        """Whether two-level cells have the same children; cells of one level are part of the model."""
+        routed = [isinstance(index.coarse, RoutedCells) for index in (self, other)]
+        if not any(routed):
+            return True
+        if not all(routed) or self.nlist != other.nlist:
+            return False
+        same = self.coarse.children.join(other.coarse.children, ["list_id", "parent", "centre"])
+        return same.count() == self.nlist
+
     def copy_subset(self, selector: Column) -> "VectorIndex":
         return self._with(self.postings.filter(selector))
 
@@ -211,7 +238,7 @@ class VectorIndex:
 
     def stats(self) -> DataFrame:
         """One row: ntotal, nlist, d, metric, is_trained, code_bytes, encoding."""
-        nlist = 1 if self.coarse is None else self.coarse.ks ** self.coarse.m
+        nlist = self.nlist
         # bytes of one stored row
         if self.codec is None:
             size = 8 * self.dim_stored
@@ -243,7 +270,9 @@ class VectorIndex:
     # ---------------------------------------------------------------- search
 
     def _probe(self, queries: DataFrame, nprobe: int) -> DataFrame:
-        if self.coarse.m > 1:
+        if isinstance(self.coarse, RoutedCells):
+            rows = self.coarse.probe(queries, nprobe, self.metric in ("ip", "cosine"))
+        elif self.coarse.m > 1:
             rows = ivf.imi_probe(queries, self.coarse, nprobe)
         else:
             rows = ivf.probe(queries, self.coarse.centroids, nprobe, self.metric)
@@ -263,9 +292,7 @@ class VectorIndex:
             return knn.refine(first, asked, self._decoded(found).select("id", "vector"), k, kernel)
         postings = self.postings
         if group:
-            # only the probed cells are read, decoded and compared
-            asked = materialize(self._probe(asked, nprobe), "probes")
-            postings = ivf.probed_only(asked, postings)
+            asked, postings = self._probed(asked, nprobe)
         if isinstance(self.codec, Codebook) and self.metric == "l2":
             if self.by_residual:
                 asked = self._with_centre(asked).withColumn("vector", arrays.subtract("vector", "_centre")).drop("_centre")
@@ -273,16 +300,20 @@ class VectorIndex:
             return search(asked, postings, k, metric, group=group, base_vector="codes", **options)
         return search(asked, self._decoded(postings), k, kernel, group=group, **options)
 
+    def _probed(self, asked: DataFrame, nprobe: int) -> tuple[DataFrame, DataFrame]:
+        """Queries with their cells, and the rows of these cells: only they are read, decoded and compared."""
+        asked = materialize(self._probe(asked, nprobe), "probes")
+        return asked, ivf.probed_only(asked, self.postings if self.stored is None else self.stored, self.nlist)
+
     def range_search(self, queries: DataFrame, radius: float, nprobe: int | None = None) -> DataFrame:
         """``(query_id, id, distance)`` of the rows nearer than ``radius``."""
         asked = self._prepare(queries)
         kernel = "ip" if self.metric == "cosine" else self.metric
         group = None
         postings = self.postings
-        if self.coarse is not None and nprobe and nprobe < self.coarse.ks ** self.coarse.m:
+        if self.coarse is not None and nprobe and nprobe < self.nlist:
             group = "list_id"
-            asked = materialize(self._probe(asked, nprobe), "probes")
-            postings = ivf.probed_only(asked, postings)
+            asked, postings = self._probed(asked, nprobe)
         return block_join(asked, self._decoded(postings), kernel, radius=radius, group=group)
 
     def search_deduplicated(self, queries: DataFrame, k: int, members: DataFrame, nprobe: int = 1) -> DataFrame:
@@ -306,7 +337,8 @@ class VectorIndex:
             elif isinstance(stage, Remap):
                 entry["positions"] = list(map(int, stage.positions))
             kinds["stages"].append(entry)
-        for name, book in (("coarse", self.coarse), ("second", self.second)):
+        kinds["routed"] = isinstance(self.coarse, RoutedCells)
+        for name, book in (("coarse", self.coarse.parents if kinds["routed"] else self.coarse), ("second", self.second)):
             if book is not None:
                 parts.update(_book_parts(name, book))
         codec = self.codec
@@ -346,6 +378,8 @@ class VectorIndex:
 
     def to_bytes(self) -> DataFrame:
         """The trained model as one ``(meta, model)`` row; the postings stay a table."""
+        if isinstance(self.coarse, RoutedCells):
+            raise ValueError("cells of two levels are a table of their own: use save")
         sink = pa.BufferOutputStream()
         table = self.model_arrow()
         with pa.ipc.new_stream(sink, table.schema) as writer:
@@ -364,17 +398,19 @@ class VectorIndex:
         model = self.model_arrow()
         self.spark.createDataFrame([(self._meta(),)], "meta string").write.parquet(f"{path}/meta")
         self.spark.createDataFrame(model).coalesce(1).write.parquet(f"{path}/model")
+        if isinstance(self.coarse, RoutedCells):
+            self.coarse.children.repartitionByRange("parent").write.parquet(f"{path}/cells")
         rows = self.postings if self.postings is not None else self.spark.createDataFrame([], "list_id long, id long, vector array<double>")
-        # range layout: a cell's rows lie together, and file statistics prune the
-        # others; the id is part of the key, so an oversize cell spans several files
-        rows.repartitionByRange("list_id", "id").sortWithinPartitions("list_id", "id").write.parquet(f"{path}/postings")
+        write_stored(rows, path, self.nlist)
         return VectorIndex.load(self.spark, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "VectorIndex":
         meta = spark.read.parquet(f"{path}/meta").first()["meta"]
         model = spark.read.parquet(f"{path}/model").toArrow()
-        return _rebuild(spark, meta, model, read_postings(spark, path))
+        children = spark.read.parquet(f"{path}/cells") if json.loads(meta).get("routed") else None
+        postings, stored = read_postings(spark, path)
+        return replace(_rebuild(spark, meta, model, postings, children), stored=stored)
 
 
 def _book_parts(name: str, book: Codebook) -> dict:
@@ -383,7 +419,7 @@ def _book_parts(name: str, book: Codebook) -> dict:
     return out
 
 
-def _rebuild(spark, meta: str, model: pa.Table, postings) -> VectorIndex:
+def _rebuild(spark, meta: str, model: pa.Table, postings, children: DataFrame | None = None) -> VectorIndex:
     info = json.loads(meta)
     grouped: dict[str, list] = {}
     for row in sorted(model.to_pylist(), key=lambda r: (r["component"], r["i"])):
@@ -417,7 +453,8 @@ def _rebuild(spark, meta: str, model: pa.Table, postings) -> VectorIndex:
         codec = SignBits(Linear(parts["codec.projection"]), None if cut is None else cut[0].tolist())
     elif kind.get("kind") == "ResidualCodec":
         codec = codecs.ResidualCodec([book(f"codec.layer{i}") for i in range(kind["layers"])])
-    return VectorIndex(spark, info["dim"], info["metric"], Chain(stages), book("coarse"), codec, book("second"), postings, info["spec"])
+    coarse = book("coarse") if children is None else routed_from(book("coarse"), children)
+    return VectorIndex(spark, info["dim"], info["metric"], Chain(stages), coarse, codec, book("second"), postings, info["spec"])
 
 
 # ------------------------------------------------------------------ change log
@@ -427,86 +464,59 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-class ChangeLog:
-    """Batches of additions and removals beside an index, in one order for all writers.
+def _batch_path(path: str, kind: str, stream: str, batch: int) -> str:
+    return f"{path}/log/{kind}/stream=s{hashlib.sha256(stream.encode()).hexdigest()[:32]}/batch={batch}"
+
+
+def _log(rows: DataFrame, path: str, kind: str, stream: str, batch: int) -> None:
+    """Write a batch as a folder of its own, unless an earlier run of it has written rows.
 
-    A batch claims the next number by creating a file of that name, which the
-    file system lets only one writer do; writes its rows under the number; and
-    is listed by a marker ``kind~stream~batch~number`` once they are complete.
-    A batch that runs again finds its marker and writes nothing, so it keeps its
-    place; rows without a marker are what a failed run left, and are not read.
-    Files once listed are never rewritten.
+    Spark moves a job's files in place when all of it is done, so a run that
+    failed is replaced by the next.  ``version`` (the writer's clock) orders
+    additions and removals of one id.
     """
+    spark, target = rows.sparkSession, _batch_path(path, kind, stream, batch)
+    ended = _exists(spark, target) and not _exists(spark, f"{target}/_temporary")
+    if not ended or not spark.read.schema("id long").parquet(target).limit(1).count():
+        rows.withColumn("version", F.lit(time.time_ns() // 1000).cast("long")).write.mode("overwrite").parquet(target)
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.root = spark, f"{path}/log"
-        self._java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._java(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _names(self, folder: str) -> list[str]:
-        where = self._java(f"{self.root}/{folder}")
-        return [f.getPath().getName() for f in self._fs.listStatus(where)] if self._fs.exists(where) else []
+def _read_log(spark: SparkSession, path: str, kind: str, schema) -> DataFrame | None:
+    root = f"{path}/log/{kind}"
+    return spark.read.schema(schema).parquet(root) if _exists(spark, root) else None
 
-    def _create(self, name: str) -> bool:
-        try:
-            return bool(self._fs.createNewFile(self._java(f"{self.root}/{name}")))
-        except Py4JJavaError:  # another writer was first
-            return False
 
-    def _claim(self) -> int:
-        number = max((int(n) for n in self._names("claims")), default=-1) + 1
-        while not self._create(f"claims/{number}"):
-            number += 1
-        return number
-
-    def batches(self, kind: str) -> dict[tuple[str, int], int]:
-        """(stream, batch) → number of the complete batches of a kind; the first run counts."""
-        found: dict[tuple[str, int], int] = {}
-        for name in self._names("done"):
-            its, stream, batch, number = name.split("~")
-            if its == kind:
-                key = stream, int(batch)
-                found[key] = min(int(number), found.get(key, int(number)))
-        return found
-
-    def write(self, kind: str, rows: DataFrame, stream: str, batch: int) -> None:
-        name = quote(stream, safe="").replace("~", "%7E")
-        if (name, batch) in self.batches(kind):
-            return
-        number = self._claim()
-        rows.withColumn("version", F.lit(number).cast("long")).write.parquet(f"{self.root}/{kind}/{number}")
-        self._create(f"done/{kind}~{name}~{batch}~{number}")
-
-    def read(self, kind: str, schema) -> DataFrame | None:
-        paths = [f"{self.root}/{kind}/{n}" for n in sorted(self.batches(kind).values())]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else None
-
-
-def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    """Stored postings with the change log applied: a removal drops what was there before it."""
-    base = spark.read.parquet(f"{path}/postings")
+def read_postings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """Stored postings with the change log applied: a removal drops what was there before it.
+
+    The second table is the postings as they lie on disk, where nothing has
+    been added or removed since.
+    """
+    stored = read_stored(spark, path)
+    base = stored.drop(ivf.GROUP)
     columns = base.columns
     base = base.withColumn("version", F.lit(-1).cast("long"))
-    log = ChangeLog(spark, path)
-    added = log.read("added", base.schema)
+    added = _read_log(spark, path, "added", base.schema)
+    removed = _read_log(spark, path, "removed", "id long, version long")
+    if added is None and removed is None:
+        return base.select(*columns), stored
     if added is not None:
         base = base.unionByName(added.select(*base.columns))
-    removed = log.read("removed", "id long, version long")
     if removed is not None:
         # only a removal after the row counts; the last one per id is enough
         last = removed.groupBy("id").agg(F.max("version").alias("gone"))
         base = base.join(last, "id", "left").filter(F.col("gone").isNull() | (F.col("gone") < F.col("version")))
-    return base.select(*columns)
+    return base.select(*columns), None
 
 
 def log_added(index: VectorIndex, path: str, rows: DataFrame, batch: int, stream: str = "") -> None:
     """Append ``(id, vector)`` rows as batch ``batch`` of the writer ``stream``."""
-    ChangeLog(index.spark, path).write("added", index.encode(rows), stream, batch)
+    _log(index.encode(rows), path, "added", stream, batch)
 
 
 def log_removed(path: str, ids: DataFrame, batch: int, stream: str = "") -> None:
     """Remove ids as batch ``batch`` of the writer ``stream``."""
-    ChangeLog(ids.sparkSession, path).write("removed", ids.select(F.col("id").cast("long")).distinct(), stream, batch)
+    _log(ids.select(F.col("id").cast("long")).distinct(), path, "removed", stream, batch)
 
 
 def compact(index_path: str, new_path: str, spark: SparkSession) -> VectorIndex:
@@ -514,11 +524,23 @@ def compact(index_path: str, new_path: str, spark: SparkSession) -> VectorIndex:
     return VectorIndex.load(spark, index_path).save(new_path)
 
 
+TABLES = ("meta", "model", "cells", "columns", "log/added", "log/removed", "postings")
+
+
 def copy_index(spark: SparkSession, path: str, new_path: str) -> VectorIndex:
-    """Copy an index folder, change log included, and open the copy; nothing inside names its place."""
-    java, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-    source, target = java.Path(path), java.Path(new_path)
-    java.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    """Copy an index, change log included, table by table as Spark jobs, and open the copy.
+
+    Nothing inside names its place.  Folders stay folders, so the copy is laid out alike.
+    """
+    for name in TABLES:
+        if not _exists(spark, f"{path}/{name}"):
+            continue
+        if name == "postings":
+            rows, folders = read_stored(spark, path), [ivf.GROUP]
+        else:
+            rows = spark.read.parquet(f"{path}/{name}")
+            folders = ["stream", "batch"] if name.startswith("log") else []
+        rows.write.partitionBy(*folders).parquet(f"{new_path}/{name}")
     return VectorIndex.load(spark, new_path)
 
 
@@ -588,7 +610,10 @@ class IndexCatalog:
             raise ValueError("as many ids as items are needed")
         named = texts.join(ids, "key").select("id", "text")
         rows = vectors.join(ids, "key").select("id", "vector")
-        self.save(name, index.add_with_ids(rows), items.unionByName(named))
+        root = self._path(name, f"v{self._live(name)}")
+        # new rows go beside the old ones; nothing stored is written again
+        log_added(index, f"{root}/index", rows, time.time_ns(), "catalog")
+        named.write.mode("append").parquet(f"{root}/items")
 
     def delete(self, name: str) -> None:
         self._record(name, self._live(name) + 1, deleted=True)

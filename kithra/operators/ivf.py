@@ -7,6 +7,8 @@ the join filter.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,11 +19,17 @@ from ..functions import arrays, kernels
 from ..functions.arrowmap import with_arrow_column
 from ..session import materialize
 from . import skew
-from .blockjoin import search
-from .codebooks import Codebook, assign
+from .blockjoin import bounded_rows, search
+from .codebooks import MODEL_BYTES, Codebook, assign
+
+#: Stored postings lie in at most so many folders, each of neighbouring cells.
+GROUPS = 1 << 10
+GROUP = "cell_group"
 
 
-PRUNE_CELLS = 4096
+def cell_group(list_id, nlist: int):
+    """The folder of a cell: ``GROUPS`` stretches of the cell numbers, or one folder a cell if there are fewer."""
+    return F.floor(F.col(list_id) * F.lit(min(nlist, GROUPS)) / F.lit(nlist)).cast("int")
 
 
 def probe(queries: DataFrame, centroids: np.ndarray, nprobe: int, metric="l2") -> DataFrame:
@@ -58,13 +66,21 @@ def ivf_knn(queries, postings, centroids, k: int, nprobe: int = 1, metric="l2",
     return search(asked, probed_only(asked, postings), k, kernel, group="list_id", **options)
 
 
-def probed_only(asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """Postings of the cells that written probes ask for, by a filter that reaches the scan.
+def probed_only(asked: DataFrame, postings: DataFrame, nlist: int | None = None) -> DataFrame:
+    """Postings of the cells that written probes ask for; one plan for any number of cells.
 
-    Where more cells are asked for than a filter should list, all are read.
+    Stored postings (with a ``cell_group`` column, see ``cell_group``) are
+    joined with the asked groups, of which there are at most ``GROUPS``: Spark
+    turns the join into a filter on folders when it runs, and the others are not
+    opened.  Rows of cells that nobody asks for are dropped by a semi-join,
+    which Spark broadcasts or shuffles by the size of the probes.
     """
-    cells = [r["list_id"] for r in asked.select("list_id").distinct().limit(PRUNE_CELLS + 1).collect()]
-    return postings.filter(F.col("list_id").isin(cells)) if len(cells) <= PRUNE_CELLS else postings
+    lists = asked.select("list_id").distinct()
+    if nlist and GROUP in postings.columns:
+        # the filter holds for every cell; pruning is planned only where the other side has one
+        groups = asked.filter(F.col("list_id") >= 0).select(cell_group("list_id", nlist).alias(GROUP)).distinct()
+        postings = postings.join(F.broadcast(groups), GROUP).drop(GROUP)
+    return postings.join(lists, "list_id", "left_semi")
 
 
 def probe_stats(queries, postings, centroids, nprobe: int = 1, metric="l2") -> DataFrame:
@@ -119,23 +135,50 @@ def imi_cells(rows: DataFrame, book: Codebook, key: str = "id") -> DataFrame:
     return coded.withColumn("list_id", number).drop("_codes")
 
 
+def nearest_sums(tables: list[np.ndarray], count: int) -> np.ndarray:
+    """The ``count`` cells of least sum of one distance per segment, ties to the lower cell number.
+
+    Best first: each segment's distances are sorted once, and a heap holds the
+    places in these lists whose neighbours before them have all been taken.  It
+    takes ``count`` steps, and as many more as there are ties with the last.
+    """
+    orders = [np.argsort(t, kind="stable")[:count] for t in tables]
+    ranked = [t[o].tolist() for t, o in zip(tables, orders)]
+    orders = [o.tolist() for o in orders]
+
+    def total(place):
+        out = 0.0
+        for values, i in zip(ranked, place):
+            out += values[i]
+        return out
+
+    # a list is cut after ``count`` places; equal distances behind the cut belong to higher codes
+    first = (0,) * len(tables)
+    heap, seen, taken = [(total(first), first)], {first}, []
+    while heap and (len(taken) < count or heap[0][0] <= taken[count - 1][0]):
+        value, place = heapq.heappop(heap)
+        cell = 0
+        for t, o, i in zip(tables, orders, place):
+            cell = cell * len(t) + o[i]
+        taken.append((value, cell))
+        for m in range(len(place)):
+            after = place[:m] + (place[m] + 1,) + place[m + 1:]
+            if after[m] < len(ranked[m]) and after not in seen:
+                seen.add(after)
+                heapq.heappush(heap, (total(after), after))
+    return np.array([cell for _, cell in sorted(taken)[:count]], np.int64)
+
+
 def imi_probe(queries: DataFrame, book: Codebook, nprobe: int) -> DataFrame:
-    """The cells with the smallest sums of segment distances."""
+    """The cells with the smallest sums of segment distances; only as many sums as needed are formed."""
     parts, ks = book.parts, book.ks
-    cells = ks ** book.m
-    if cells > 1 << 24:
-        raise ValueError("too many composed cells to rank per query")
-    count = min(nprobe, cells)
+    count = min(nprobe, ks ** book.m)
 
     def best_cells(v: pa.Array) -> pa.Array:
-        x = kernels.matrix(v)
-        tables = kernels.AsymmetricCode(parts).tables(x)
-        out = np.empty((len(x), count), np.int64)
-        for i in range(len(x)):
-            sums = np.zeros(1)
-            for t in tables:
-                sums = (sums[:, None] + t[i][None, :]).reshape(-1)
-            out[i] = np.lexsort((np.arange(cells), sums))[:count]
+        tables = kernels.AsymmetricCode(parts).tables(kernels.matrix(v))
+        out = np.empty((len(v), count), np.int64)
+        for i in range(len(v)):
+            out[i] = nearest_sums([t[i] for t in tables], count)
         return kernels.list_array(out, pa.int64())
 
     rows = queries.select("query_id", arrays.doubles("vector").alias("vector"))
@@ -150,25 +193,26 @@ def imi_knn(queries, base, book: Codebook, k: int, nprobe: int, **options) -> Da
 
 # ----------------------------------------------------------------- bit cells
 
-def hamming_cells(rows: DataFrame, centroids: DataFrame, key: str, nprobe: int, out: str = "list_id") -> DataFrame:
-    """Rows with their ``nprobe`` nearest binary centroids ``(id, vector)``.
-
-    The centroids are a model of checked size (see ``Codebook``); they are the
-    base side here and the rows stay partitioned as they are.
-    """
-    table = centroids.select("id", "vector").orderBy("id").toArrow()
-    ids, words = kernels.longs(table["id"]), kernels.matrix(table["vector"], np.int64)
+def hamming_cells(rows: DataFrame, centroids: DataFrame | np.ndarray, key: str, nprobe: int, out: str = "list_id") -> DataFrame:
+    """Rows with their ``nprobe`` nearest binary centroids: a table ``(id, vector)`` or the words of cells 0, 1, …"""
+    if isinstance(centroids, DataFrame):
+        if bounded_rows(centroids, "vector", MODEL_BYTES) is None:
+            raise ValueError("binary centroids are too large to share with every task")
+        table = centroids.select("id", "vector").orderBy("id").toArrow()
+        ids, words = kernels.longs(table["id"]), kernels.matrix(table["vector"], np.int64)
+    else:
+        ids, words = np.arange(len(centroids)), np.asarray(centroids, np.int64)
     count = min(nprobe, len(ids))
 
     def cells(v: pa.Array) -> pa.Array:
         best = kernels.TopK(len(v), count)
         best.scan(kernels.Hamming(), kernels.matrix(v, np.int64), words, ids)
-        return kernels.list_array(best.slots.astype(np.int32), pa.int32())
+        return kernels.list_array(best.slots, pa.int64())
 
-    return with_arrow_column(rows, out, "array<int>", "vector", cells).withColumn(out, F.explode(out))
+    return with_arrow_column(rows, out, "array<bigint>", "vector", cells).withColumn(out, F.explode(out))
 
 
-def hamming_ivf_knn(queries, base, centroids: DataFrame, k: int, nprobe: int = 1, **options) -> DataFrame:
+def hamming_ivf_knn(queries, base, centroids: DataFrame | np.ndarray, k: int, nprobe: int = 1, **options) -> DataFrame:
     asked = materialize(hamming_cells(queries, centroids, "query_id", nprobe), "probes")
     postings = materialize(hamming_cells(base, centroids, "id", 1), "postings")
     return search(asked, probed_only(asked, postings), k, "hamming", group="list_id", **options)

@@ -1,9 +1,11 @@
 """The configuration string of an index, e.g. ``PCAR16,IVF50,SQ8``.
 
 A comma list of: ``IDMap``; transforms ``PCA|PCAR|PCAW|PCAWR n``, ``OPQ m[_d]``,
-``RR n``, ``L2norm``, ``ITQ n``, ``Pad n``; cells ``IVF n``, ``IMI2x bits``,
-``BIVF n``; codes ``Flat``, ``PQ m[x bits][+z]``, ``SQ4|SQ6|SQ8|SQfp16``,
-``LSH[r][t]``, ``Residual l[x bits]``.
+``RR n``, ``L2norm``, ``ITQ n``, ``Pad n``; cells ``IVF n``, ``IVF nR[parents]``
+(cells in two levels, also taken by ``IVF n`` where one level is too large to
+share), ``IMI2x bits``; codes ``Flat``, ``PQ m[x bits][+z]``, ``SQ4|SQ6|SQ8|SQfp16``,
+``LSH[r][t]``, ``Residual l[x bits]``.  ``BIVF n`` and ``BFlat`` alone index bit
+vectors (arrays of packed words).
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays
 from ..operators import codecs
+from ..operators.binary import BinaryIndex, train_binary_index
 from ..operators.codebooks import fit_codebook
 from ..operators.index import SignBits, VectorIndex
 from ..operators.linear import ITQ, PCA, Chain, L2Norm, Linear, Pad, RandomRotation, column_of, median_thresholds, random_rotation
+from ..operators.routing import fit_routed
 from ..session import materialize
 
 
@@ -42,7 +46,7 @@ class OPQ:
 class IndexSpec:
     text: str
     stages: list = field(default_factory=list)
-    cells: tuple | None = None  # ("IVF", n) | ("IMI", m, bits) | ("BIVF", n)
+    cells: tuple | None = None  # ("IVF", n) | ("IVFR", n, parents) | ("IMI", m, bits)
     code: tuple = ("Flat",)
     second: tuple | None = None
 
@@ -61,8 +65,8 @@ _STAGES = [
 ]
 _CELLS = [
     (r"IVF(\d+)", lambda m: ("IVF", int(m[1]))),
+    (r"IVF(\d+)R(\d*)", lambda m: ("IVFR", int(m[1]), int(m[2]) if m[2] else None)),
     (r"IMI(\d+)x(\d+)", lambda m: ("IMI", int(m[1]), int(m[2]))),
-    (r"BIVF(\d+)", lambda m: ("BIVF", int(m[1]))),
 ]
 _CODES = [
     (r"Flat", lambda m: ("Flat",)),
@@ -101,8 +105,13 @@ def parse_spec(text: str) -> IndexSpec:
     return spec
 
 
-def train_index(text: str, train: DataFrame, metric: str = "l2", iterations: int = 10, seed: int = 0, init="hash") -> VectorIndex:
+SHARED_CELLS_BYTES = 64 << 20  # cells of one level up to this size are shared with every task
+
+
+def train_index(text: str, train: DataFrame, metric: str = "l2", iterations: int = 10, seed: int = 0, init="hash") -> VectorIndex | BinaryIndex:
     """Train an empty index described by ``text`` on ``(id, vector)`` rows."""
+    if re.fullmatch(r"BIVF\d+|BFlat", text):
+        return train_binary_index(text, train, iterations, init, seed)
     spec = parse_spec(text)
     spark = train.sparkSession
     rows = train.select("id", arrays.doubles("vector").alias("vector")).filter(F.col("vector").isNotNull())
@@ -114,12 +123,13 @@ def train_index(text: str, train: DataFrame, metric: str = "l2", iterations: int
         index = replace(index, transform=Chain(spec.stages).fit(rows))
         rows = materialize(index.transform.transform(rows), "train")
     inner = index.dim_stored
-    if spec.cells and spec.cells[0] == "IVF":
+    if spec.cells and (spec.cells[0] == "IVFR" or spec.cells[0] == "IVF" and 8 * inner * spec.cells[1] > SHARED_CELLS_BYTES):
+        parents = spec.cells[2] if spec.cells[0] == "IVFR" else None
+        index = replace(index, coarse=fit_routed(rows, spec.cells[1], parents, iterations, iterations, seed))
+    elif spec.cells and spec.cells[0] == "IVF":
         index = replace(index, coarse=fit_codebook(rows, 1, spec.cells[1], iterations, init, seed))
     elif spec.cells and spec.cells[0] == "IMI":
         index = replace(index, coarse=fit_codebook(rows, spec.cells[1], 1 << spec.cells[2], iterations, init, seed))
-    elif spec.cells:
-        raise ValueError("BIVF indexes bit codes: use ivf.hamming_ivf_knn")
     kind = spec.code
     if kind[0] == "LSH":
         bits = inner
