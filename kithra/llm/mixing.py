@@ -107,15 +107,16 @@ def _by_source(table: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The documents of the mix, each repeated as often as it was drawn; same columns as ``docs``."""
+    """The documents of the mix, each repeated as often as it was drawn; same columns as ``docs``, whatever their names."""
     same = ["_key", "_source", "size"]
     drawn = mix(docs, key, source, text, **options).select(F.col(key).alias("_key"), "_source", "size", "copies")
     drawn = drawn.withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("copies"))))
     drawn = drawn.filter("copies > 0").select(*[F.col(c).alias(f"{c}_d") for c in [*same, "_nth"]], "copies")
     # rows of one key, source and size are told apart by their order only
-    told = docs.withColumns({"_key": F.col(key), "_source": F.col(source).cast("string"), "size_": word_count(text)})
-    told = told.withColumnRenamed("size_", "_size").withColumn(
-        "_nth", F.row_number().over(Window.partitionBy("_key", "_source", "_size").orderBy(F.xxhash64(text))))
+    told = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.col(source).cast("string").alias("_source"),
+                       word_count(text).alias("_size"), F.xxhash64(text).alias("_told"))
+    told = told.withColumn("_nth", F.row_number().over(Window.partitionBy("_key", "_source", "_size").orderBy("_told")))
     on = [F.col(a).eqNullSafe(F.col(b)) for a, b in
           (("_key", "_key_d"), ("_source", "_source_d"), ("_size", "size_d"), ("_nth", "_nth_d"))]
-    return told.join(drawn, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken = told.join(drawn, on).select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

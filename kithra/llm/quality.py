@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import keyed_hash
 from ..session import ship_package
+from .names import unused
 from . import bytewords
 
 PASSAGE_WORDS = 64
@@ -198,8 +199,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
     marked = marked.groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
     marked = marked.orderBy(keyed_hash("_key", seed=seed), "_key").limit(train_docs)
-    sample = docs.join(F.broadcast(marked), F.col(key) == F.col("_key"))  # at most train_docs rows
-    rows = sample.select(keyed_hash("_key", seed=seed).alias("_at"), "_key", "_label", F.col(text).alias("_text"))
+    asked = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text"))
+    sample = asked.join(F.broadcast(marked), F.col("_doc") == F.col("_key"))  # at most train_docs rows
+    rows = sample.select(keyed_hash("_key", seed=seed).alias("_at"), "_key", "_label", "_text")
 
     def encode(batches):
         for batch in batches:
@@ -234,12 +236,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with ``name``, the model's score of each whole text; null and empty texts are one empty passage."""
+    """``docs`` with ``name``, the model's score of each whole text; null and empty texts are one empty passage.
+
+    A column of that name is replaced; all others keep their names and values.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
     kept = [f for f in docs.schema.fields if f.name != name]
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).alias("_scored"))
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias(unused(docs.columns, "_scored")))
 
     def run(batches):
         for batch in batches:

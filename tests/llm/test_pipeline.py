@@ -69,3 +69,29 @@ def test_empty_documents(spark, tmp_path, documents):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).collect() == []
+
+
+OWN_NAMES = ["_source", "_key", "_nth", "_copy", "copies", "_size", "size_", "size_d", "_told", "_row", "row", "col", "_label", "_text", "_doc",
+             "_scored", "_score", "score", "component", "n", "key", "id", "text_", "_at", "_key_d", "target", "taken", "item_id", "n_shingles", "component_id"]
+
+
+def test_extra_columns_keep_their_values(spark, tmp_path, documents):
+    """Every stage takes columns of any name through, value by value; a row repeated very often is one document."""
+    folder, rows, *_ = table_folder(spark, tmp_path, documents)
+    plain = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id is null or doc_id < 60 or doc_id >= 500")
+    often = spark.range(10_000).selectExpr("777L doc_id", "'a row that stands ten thousand times in the table' text", "null lang", "'s1' source", "1L n_chars")
+    plain = plain.unionByName(often.selectExpr(*[f"cast({c} as {t}) {c}" for c, t in plain.dtypes]))
+    from pyspark.sql import functions as F
+
+    docs = materialize(plain.select("*", *[F.concat(F.lit(f"{c}="), F.coalesce(F.xxhash64("doc_id", "text").cast("string"), F.lit("-"))).alias(c)
+                                           for c in OWN_NAMES]), "wide")
+    held = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = materialize(stage(spark, docs, folder), "wide")
+        assert after.columns == docs.columns, name
+        got = after.collect()
+        assert got and {tuple(r) for r in got} <= held, name
+        if name == "near copies":
+            assert sum(r["doc_id"] == 777 for r in got) == 1
+        docs = after
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
