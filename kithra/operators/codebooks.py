@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
-from ..functions.arrowmap import with_arrow_column
+from ..functions.arrowmap import add_arrays, with_arrow_column
 from ..functions.hashing import HASH_RANGE, keyed_hash
 
 MODEL_BYTES = 256 << 20  # largest model shared with every task
@@ -191,17 +191,14 @@ def lloyd_step(df: DataFrame, book: Codebook) -> Codebook:
                 })
 
     partial = df.select("vector").mapInArrow(fold, "m int, code int, n double, sse double, sums array<double>")
-    merged = (
-        partial.select("m", "code", "n", "sse", F.posexplode("sums").alias("j", "x"))
-        .groupBy("m", "code", "j").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("x").alias("x"))
-        .toPandas()
-    )
+    merged = add_arrays(partial, ["m", "code"], ["n", "sse"], "sums").toArrow()  # as large as the model
+    m, code, n = (merged[c].to_numpy() for c in ("m", "code", "n"))
     words = [w.copy() for w in book.words]
-    error = 0.0
-    for m in range(book.m):
-        mine = merged[merged.m == m]
-        words[m][mine.code.to_numpy(), mine.j.to_numpy()] = (mine.x / mine.n).to_numpy()
-        error += float(mine[mine.j == 0].sse.sum())
+    for part, w in enumerate(words):
+        mine = np.flatnonzero(m == part)
+        if len(mine):
+            w[code[mine]] = kernels.matrix(merged["sums"].take(pa.array(mine))) / n[mine, None]
+    error = float(np.sum(merged["sse"].to_numpy()))
     return Codebook(book.starts, words, book.objective + [error])
 
 

@@ -23,6 +23,14 @@ def _(t: Tables):
     return vecs.read_fvecs(t.spark, path)
 
 
+@query("fvecs_in_small_ranges", FLOATS)
+def _(t: Tables):
+    """The data source itself, each file cut into many byte ranges."""
+    path = scratch_path(t.spark, "fvecs")
+    vecs.write_fvecs(t.vectors, path)
+    return t.spark.read.format("fvecs").option("splitbytes", 8 * 260).load(path)
+
+
 @query("ivecs_round_trip", f"WITH {VECTORS}, r AS ({_self_pairs(5)}) SELECT query_id AS id, list(id::INTEGER ORDER BY \"rank\") AS vector FROM r GROUP BY query_id")
 def _(t: Tables):
     found = knn.knn_join(t.queries, t.vectors, 5)

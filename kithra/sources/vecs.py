@@ -2,24 +2,24 @@
 
 ``fvecs`` holds float32, ``ivecs`` int32 and ``bvecs`` uint8 values, all
 little-endian.  Records have one length, so files split at record borders.
+They are read and written by the data source of ``vecsource``; stores that only
+Spark's own readers reach are read as fixed-length records.
 """
 
 from __future__ import annotations
 
-import posixpath
 import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.arrowmap import with_arrow_column
-
-# fixed values: bytes per component and NumPy type of each format
-FORMATS = {"fvecs": (4, "<f4"), "ivecs": (4, "<i4"), "bvecs": (1, "u1")}
+from ..session import ship_package
+from . import vecsource
+from .vecsource import FORMATS
 
 
 def _dimension(spark: SparkSession, path: str, width: int) -> int:
@@ -31,8 +31,27 @@ def _dimension(spark: SparkSession, path: str, width: int) -> int:
     return struct.unpack("<i", head)[0]
 
 
+def _known(path: str) -> bool:
+    """Whether pyarrow reaches the path's store."""
+    try:
+        vecsource.file_system(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
 def read_vecs(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """``(id, vector)``; the id is the record's position."""
+    """``(id, vector)``; the id is the record's position, files of a folder in order of name."""
+    where = _qualified(spark, path)
+    if not _known(where):
+        return _read_records(spark, path, fmt)
+    ship_package(spark)
+    vecsource.register(spark)
+    return spark.read.format(fmt).load(where)
+
+
+def _read_records(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The same through Spark's reader of fixed-length records, for stores that only Spark reaches."""
     width, dtype = FORMATS[fmt]
     dim = _dimension(spark, path, width)
     records = spark.sparkContext.binaryRecords(path, 4 + width * dim).zipWithIndex()
@@ -71,42 +90,26 @@ def _qualified(spark, path: str) -> str:
 
 
 def write_vecs(df: DataFrame, path: str, fmt: str) -> DataFrame:
-    """Write ``(id, vector)`` ordered by id as part files below ``path``; returns ``(file, rows)``.
+    """Write ``(id, vector)`` ordered by id as part files below ``path``; returns ``(file, rows)`` of all files there.
 
-    A file is named by its partition and moved in place when complete, so a
-    task that runs again replaces its own file.
+    The files take their names when all tasks have ended; a failed job leaves none.
     """
-    width, dtype = FORMATS[fmt]
-    path = _qualified(df.sparkSession, path)
-    rows = df.select(F.col("id").cast("long"), "vector").repartitionByRange("id").sortWithinPartitions("id")
-
-    def store(batches):
-        from pyarrow import fs
-
-        system, root = fs.FileSystem.from_uri(path)
-        system.create_dir(root, recursive=True)
-        context = TaskContext.get()
-        name = f"part-{context.partitionId():06d}.{fmt}"
-        draft = posixpath.join(root, f"_{name}.{context.taskAttemptId()}")
-        count = 0
-        with system.open_output_stream(draft) as sink:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = kernels.matrix(batch.column(1)).astype(dtype)
-                head = np.full((len(x), 1), x.shape[1], "<i4").view(np.uint8).reshape(len(x), 4)
-                body = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1)
-                sink.write(np.hstack([head, body]).tobytes())
-                count += len(x)
-        if count:
-            system.move(draft, posixpath.join(root, name))
-        else:
-            system.delete_file(draft)
-        yield pa.record_batch({"file": pa.array([name]), "rows": pa.array([count], pa.int64())})
-
     spark = df.sparkSession
-    written = rows.mapInArrow(store, "file string, rows long").toPandas()
-    return spark.createDataFrame(written[written["rows"] > 0], "file string, rows long")
+    where = _qualified(spark, path)
+    ship_package(spark)
+    vecsource.register(spark)
+    rows = df.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<int>" if fmt == "ivecs" else "array<float>").alias("vector"))
+    rows.repartitionByRange("id").sortWithinPartitions("id").write.format(fmt).mode("append").save(where)
+    return vec_files(spark, where, fmt)
+
+
+def vec_files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """``(file, rows)`` of the vector files at ``path``, from their headers."""
+    found: dict[str, int] = {}
+    for part in vecsource.VectorReader(fmt, {"path": _qualified(spark, path)}).partitions():
+        name = part.file.rsplit("/", 1)[-1]
+        found[name] = found.get(name, 0) + part.count
+    return spark.createDataFrame(sorted(found.items()), "file string, rows long")
 
 
 def write_fvecs(df, path):
