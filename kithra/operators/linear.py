@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, kernels
 from ..functions.arrowmap import with_arrow_column
+from .selection import exact_quantiles
 
 
 # ---------------------------------------------------------------- statistics
@@ -345,11 +346,10 @@ class ITQ:
         return pca.then(Linear(rotation))
 
 
-def median_thresholds(df: DataFrame, vector: str = "vector", exact: bool = False) -> DataFrame:
-    """Per-dimension median ``(dim, threshold)``, so that bits are balanced."""
-    cells = df.select(F.posexplode(arrays.doubles(vector)).alias("dim", "x"))
-    middle = F.percentile("x", F.lit(0.5)) if exact else F.percentile_approx("x", 0.5, 10000)
-    return cells.groupBy("dim").agg(middle.alias("threshold"))
+def median_thresholds(df: DataFrame, vector: str = "vector") -> DataFrame:
+    """Exact per-dimension median ``(dim, threshold)``, so that bits are balanced."""
+    middle = exact_quantiles(df, [0.5], vector)[0]
+    return df.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(middle)], "dim int, threshold double")
 
 
 @dataclass

@@ -269,7 +269,7 @@ def _(t: Tables):
 
 @query("median_thresholds", f"""WITH {VECTORS}, {CELLS.format('vec')} SELECT dim::INTEGER AS dim, round(quantile_cont(x, 0.5), 6) AS threshold FROM c GROUP BY dim""")
 def _(t: Tables):
-    return linear.median_thresholds(t.vectors, exact=True).select("dim", F.round("threshold", 6).alias("threshold"))
+    return linear.median_thresholds(t.vectors).select("dim", F.round("threshold", 6).alias("threshold"))
 
 
 @query("uniform_norm_quantize", """WITH n AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS x FROM lineitem),
