@@ -108,7 +108,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kin
     """(key, told, spans): units of each row of which an earlier one stands elsewhere, as (start, end) in order.
 
     Rank is (key with null first, told, start).  Spans of a line and of its
-    sentences may overlap.  Rows of equal key and text are one document.
+    sentences may overlap.  Rows of equal key and text are one document, whose
+    spans are listed once, however often the row is repeated.
     """
     found = units(docs, key, text, kinds, min_words)
     rank = F.struct(F.col("key").isNotNull().alias("known"), "key", "told", "start", "end")
@@ -116,7 +117,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kin
     # only repeated digests are written: the rest never meets the units again
     again = materialize(firsts.filter("first < last").select("digest", "first", "n"), "repeated")
     later = hot_join(found.withColumn("rank", rank), again, "digest").filter("rank > first")
-    return later.groupBy("key", "told").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return later.groupBy("key", "told").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
 def merged(spans) -> list[tuple[int, int]]:

@@ -21,19 +21,20 @@ SHARD_ROWS = 32768  # base rows of a tree, a bound on a task's memory
 BLOCK_ROWS = 8192  # queries that one task asks together
 LEAF_ROWS = 1024
 STRETCH = 1.05
-MARGIN = 16  # results kept beyond k until scores are computed again
 SLACK = 1e-7  # of an angle, for rounding
+EXACT_SLACK = 1e-12  # of a cosine: products that may still be as large as the k-th are computed again in one order
+EXACT_PAIRS = 1 << 16  # pairs whose products are computed again at once
 
 
 class Tree:
-    """Vantage-point tree over the rows of ``points``, lifted to one length."""
+    """Vantage-point tree over the rows of ``points``, lifted to one length; of equal products the earlier row is better."""
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF_ROWS, seed: int = 0):
+    def __init__(self, points: np.ndarray, leaf: int | None = None, seed: int = 0):
         norms = np.einsum("ij,ij->i", points, points)
         self.length = float(np.sqrt(norms.max()))
         lift = np.sqrt(np.maximum(norms.max() - norms, 0))
-        self.points = np.hstack([points, lift[:, None]]) / self.length
-        self.leaf, self.rng = leaf, np.random.default_rng(seed)
+        self.raw, self.points = points, np.hstack([points, lift[:, None]]) / self.length
+        self.leaf, self.rng = leaf or LEAF_ROWS, np.random.default_rng(seed)
         self.root = self._build(np.arange(len(points)))
 
     def _build(self, rows: np.ndarray):
@@ -48,64 +49,80 @@ class Tree:
                 self._build(rows[near]), self._build(rows[far]))
 
     def search(self, queries: np.ndarray, k: int, stretch: float = 1.0):
-        """(cosines in the lifted space, rows) of about the k best points of each query; -1 where there are fewer."""
-        q = np.hstack([queries, np.zeros((len(queries), 1))])
-        q /= np.linalg.norm(q, axis=1, keepdims=True)
+        """(inner products, rows) of the k best points of each query, best first; -inf and -1 where there are fewer."""
+        size = np.linalg.norm(queries, axis=1, keepdims=True)
+        q = np.hstack([queries / size, np.zeros((len(queries), 1))])
         best = np.full((len(q), k), -np.inf)
         rows = np.full((len(q), k), -1, np.int64)
-        self._visit(self.root, np.arange(len(q)), q, best, rows, stretch)
+        self._visit(self.root, np.arange(len(q)), (queries, q, size[:, 0] * self.length), best, rows, stretch)
         return best, rows
 
-    def _visit(self, node, active, q, best, rows, stretch):
+    def _visit(self, node, active, asked, best, rows, stretch):
         if isinstance(node, np.ndarray):
-            self._leaf(node, active, q, best, rows)
+            self._leaf(node, active, asked, best, rows)
             return
         vantage, near, far, left, right = node
+        _, q, length = asked
         angle = np.arccos(np.clip(q[active] @ vantage, -1, 1))
         # first the side whose angles are closer, then the other if it may still hold better ones
         inner = np.maximum(np.maximum(near[0] - angle, angle - near[1]), 0)
         outer = np.maximum(np.maximum(far[0] - angle, angle - far[1]), 0)
         first = inner <= outer
         for pick, bound, child in ((first, inner, left), (~first, outer, right), (~first, inner, left), (first, outer, right)):
-            worst = np.arccos(np.clip(best[active[pick], -1], -1, 1))
+            worst = np.arccos(np.clip(best[active[pick], -1] / length[active[pick]], -1, 1))
             worst[np.isneginf(best[active[pick], -1])] = np.inf
             go = active[pick][bound[pick] * stretch <= worst + SLACK]
             if len(go):
-                self._visit(child, go, q, best, rows, stretch)
+                self._visit(child, go, asked, best, rows, stretch)
 
-    def _leaf(self, node, active, q, best, rows):
+    def _leaf(self, node, active, asked, best, rows):
+        queries, q, length = asked
+        k = best.shape[1]
         cosine = q[active] @ self.points[node].T
-        better = cosine.max(axis=1) >= best[active, -1]
-        active, cosine = active[better], cosine[better]
-        if not len(active):
+        floor = best[active, -1] / length[active]
+        if len(node) > k:
+            floor = np.maximum(floor, np.partition(cosine, len(node) - k, axis=1)[:, len(node) - k])
+        at, place = np.nonzero(cosine >= floor[:, None] - EXACT_SLACK)
+        if not len(at):
             return
-        k = best.shape[1]
-        value = np.hstack([best[active], cosine])
-        name = np.hstack([rows[active], np.broadcast_to(node, cosine.shape)])
-        order = np.argsort(-value, axis=1, kind="stable")[:, :k]
-        best[active] = np.take_along_axis(value, order, 1)
-        rows[active] = np.take_along_axis(name, order, 1)
+        # the products themselves decide, so that ties are ties
+        found, point = active[at], node[place]
+        old = np.unique(found)
+        who = np.concatenate([np.repeat(old, k), found])
+        value = np.concatenate([best[old].ravel(), self._products(queries, found, point)])
+        name = np.concatenate([rows[old].ravel(), point])
+        order = np.lexsort((name, -value, who))
+        who, value, name = who[order], value[order], name[order]
+        start = np.searchsorted(who, old)
+        taken = (start[:, None] + np.arange(k)[None, :])
+        best[old], rows[old] = value[taken], name[taken]
+
+    def _products(self, queries, found, point):
+        """Inner products, added in one order for every pair, so that equal vectors have equal ones."""
+        return np.concatenate([(queries[found[low:low + EXACT_PAIRS]] * self.raw[point[low:low + EXACT_PAIRS]]).sum(axis=1)
+                               for low in range(0, len(found), EXACT_PAIRS)])
 
 
 def nearest(queries: np.ndarray, query_ids: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int, stretch: float) -> pd.DataFrame:
     """(query_id, vec_id, score): the k best base rows of each query within one shard, its own id left out.
 
     Equal vectors are one point with its smallest k + 1 ids, so copies neither
-    unbalance the tree nor crowd out a result.
+    unbalance the tree nor crowd out a result.  Points are in order of their
+    smallest ids: the k + 1 best of them, earlier ones first among equals, hold
+    the k best rows, however many vectors tie.
     """
     order = np.argsort(base_ids, kind="stable")
     base, base_ids = base[order], base_ids[order]
-    points, which = np.unique(base, axis=0, return_inverse=True)
-    which = which.reshape(-1)
+    points, begin, which = np.unique(base, axis=0, return_index=True, return_inverse=True)
+    earlier = np.argsort(begin)
+    points, which = points[earlier], np.argsort(earlier)[which.reshape(-1)]
     members = np.argsort(which, kind="stable")
     size = np.bincount(which, minlength=len(points))
     begin = np.cumsum(size) - size
     size = np.minimum(size, k + 1)
-    _, rows = Tree(points).search(queries, min(k + 1 + MARGIN, len(points)), stretch)
+    scores, rows = Tree(points).search(queries, min(k + 1, len(points)), stretch)
     at, place = np.nonzero(rows >= 0)
-    point = rows[at, place]
-    # products are added in one order for every row, so equal vectors have equal scores
-    score = (queries[at] * points[point]).sum(axis=1)
+    point, score = rows[at, place], scores[at, place]
     n = size[point]
     wide = np.repeat(np.arange(len(point)), n)
     nth = np.arange(len(wide)) - np.repeat(np.cumsum(n) - n, n)

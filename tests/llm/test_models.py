@@ -1,9 +1,10 @@
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
-from kithra.llm import decontaminate, quality, vptree
+from kithra.llm import decontaminate, q_models, quality, vptree
 
 # ------------------------------------------------------------------ nearest vectors
 
@@ -73,6 +74,22 @@ def test_production_recall(spark):
     assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("options", [{}, {"shard_rows": 120, "block_rows": 9}])
+def test_ties_go_to_the_smaller_ids(spark, options, monkeypatch):
+    """Whole numbers, so products are exact: hundreds of different vectors of one score, against the SQL."""
+    monkeypatch.setattr(vptree, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.c_[np.full(400, 3.0), rng.integers(-40, 41, (400, 5))], rng.integers(-1, 2, (300, 6))]).astype(float)
+    x[:40, 1:] = 0
+    rows = [(int(i), [float(v) for v in row]) for i, row in zip(rng.permutation(700) + 1, x)] + [(0, [1.0] + [0.0] * 5), (720, [0.0] * 3 + [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    db = duckdb.connect()
+    db.register("embeddings", df.toArrow())
+    want = sorted(db.sql(q_models.OP2_SQL).fetchall())
+    got = vptree.vp_search(df.filter("vec_id % 20 = 0"), df, 20, stretch=1.0, **options)
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()) == want
+
+
 def test_no_vectors(spark):
     assert search(spark, vectors()[700:701]) == {}
     one = [(0, [1.0, 2.0])]

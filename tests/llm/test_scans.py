@@ -175,6 +175,15 @@ def test_paragraphs_and_no_rows(documents):
     assert linededup.dedup_lines(documents(rows).limit(0)).collect() == []
 
 
+def test_a_repeated_row_lists_its_spans_once(documents):
+    text = "one line that stands twice\nand another line\none line that stands twice"
+    rows = documents([(1, "one line that stands twice")] + [(7, text)] * 3000)
+    spans = linededup.repeated_spans(rows).collect()
+    assert [(r["key"], len(r["spans"])) for r in spans] == [(7, 2)]
+    got = linededup.dedup_lines(rows).groupBy("doc_id", "kept").count().collect()
+    assert sorted((r["doc_id"], r["kept"], r["count"]) for r in got) == [(1, "one line that stands twice", 1), (7, "\nand another line\n", 3000)]
+
+
 def test_short_and_unspaced_units_go(documents):
     unspaced, encoded = "这是一行没有空格的文字，很长很长，重复出现。", "data:" + "QUJD" * 40
     rows = [(1, f"Menu\n{unspaced}\n{encoded}\nNo. Yes!"), (2, f" MENU \nnew\n{unspaced}"), (3, f"{encoded}\n\n \nYes! menu\nyes!"), (4, " \n\n")]
