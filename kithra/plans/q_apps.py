@@ -143,13 +143,13 @@ def boxes(t: Tables):
 CORNERS = ["x1", "y1", "x2", "y2"]
 
 
-def _nms_sql(limit, over):
+def _nms_sql(limit, over, box=BOX):
     """Greedy by recursion over the rank of a box in its image, carrying the boxes kept so far."""
     shared = ("(greatest(least(k.x2, b.x2) - greatest(k.x1, b.x1) + 1, 0.0) * greatest(least(k.y2, b.y2) - greatest(k.y1, b.y1) + 1, 0.0))")
     area = "(({0}.x2 - {0}.x1 + 1) * ({0}.y2 - {0}.y1 + 1))"
     both = f"least({area.format('k')}, {area.format('b')})" if over == "Min" else f"({area.format('k')} + {area.format('b')} - {shared})"
     clash = shared.replace("k.", "z.") + " / " + both.replace("k.", "z.")
-    return f"""WITH RECURSIVE {BOX}, o AS (SELECT image_id, box_id, score, {{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} AS b, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, box_id) AS r FROM box),
+    return f"""WITH RECURSIVE {box}, o AS (SELECT image_id, box_id, score, {{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} AS b, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, box_id) AS r FROM box),
   run(image_id, r, kept, ids) AS (SELECT image_id, 1::BIGINT, [b], [box_id] FROM o WHERE r = 1
    UNION ALL SELECT run.image_id, o.r, CASE WHEN len(list_filter(run.kept, lambda z: {clash.replace('b.', 'o.b.')} > {limit})) = 0 THEN list_append(run.kept, o.b) ELSE run.kept END,
     CASE WHEN len(list_filter(run.kept, lambda z: {clash.replace('b.', 'o.b.')} > {limit})) = 0 THEN list_append(run.ids, o.box_id) ELSE run.ids END
@@ -163,6 +163,24 @@ def _(t: Tables):
     return bx.nms(boxes(t), 0.5).select("image_id", "box_id", *CORNERS, "score")
 
 
+CROWD = (
+    "box AS (SELECT 10 * l_suppkey + l_linenumber AS image_id, 100 * (l_partkey + 100000 * l_orderkey) + l_quantity::BIGINT AS box_id, (l_partkey % 200)::DOUBLE AS x1, (l_orderkey % 150)::DOUBLE AS y1,"
+    " (l_partkey % 200)::DOUBLE + 5 + l_quantity AS x2, (l_orderkey % 150)::DOUBLE + 8 + l_quantity / 2 AS y2, l_extendedprice AS score FROM lineitem)"
+)
+
+
+@query("nms_crowded", _nms_sql(0.3, "Union", CROWD))
+def _(t: Tables):
+    """Images of many boxes, cut into tiles."""
+    c = F.col
+    x, y = (c("l_partkey") % 200).cast("double"), (c("l_orderkey") % 150).cast("double")
+    crowd = t("lineitem").select(
+        (10 * c("l_suppkey") + c("l_linenumber")).alias("image_id"),
+        (100 * (c("l_partkey") + 100000 * c("l_orderkey")) + c("l_quantity").cast("long")).alias("box_id"), x.alias("x1"), y.alias("y1"),
+        (x + 5 + c("l_quantity")).alias("x2"), (y + 8 + c("l_quantity") / 2).alias("y2"), c("l_extendedprice").alias("score"))
+    return bx.nms(crowd, 0.3, block=16).select("image_id", "box_id", *CORNERS, "score")
+
+
 @query("nms_min", _nms_sql(0.6, "Min"))
 def _(t: Tables):
     return bx.nms(boxes(t), 0.6, "Min").select("image_id", "box_id", *CORNERS, "score")

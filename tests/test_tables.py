@@ -56,6 +56,51 @@ def test_suppression_in_rounds_equals_one_pass(spark):
                 assert any(k[0] == d[0] and (-k[6], k[1]) < (-d[6], d[1]) and share(k, d) > 0.3 for k in kept)
 
 
+def _greedy_boxes(rows, threshold, method):
+    """Plain greedy suppression, image by image."""
+    kept = []
+    for r in sorted(rows, key=lambda r: (r[0], -r[6], r[1])):
+        def share(k):
+            w = max(0.0, min(k[4], r[4]) - max(k[2], r[2]) + 1)
+            h = max(0.0, min(k[5], r[5]) - max(k[3], r[3]) + 1)
+            area = [(c[4] - c[2] + 1) * (c[5] - c[3] + 1) for c in (k, r)]
+            return w * h / (min(area) if method == "Min" else sum(area) - w * h)
+
+        if all(k[0] != r[0] or share(k) <= threshold for k in kept):
+            kept.append(r)
+    return {(r[0], r[1]) for r in kept}
+
+
+SHAPE = "image_id long, box_id long, x1 double, y1 double, x2 double, y2 double, score double"
+
+
+def test_crowded_image_in_tiles_equals_plain_greedy(spark):
+    n = 1500
+    # half of all boxes in one image, a third of these piled up on one spot; one box as large as the image, many tied scores
+    x, y = RNG.uniform(-300, 300, n), RNG.uniform(-300, 300, n)
+    x[:250], y[:250] = RNG.normal(10, 3, 250), RNG.normal(10, 3, 250)
+    w, h, s = RNG.uniform(0, 40, n), RNG.uniform(0, 25, n), RNG.integers(0, 200, n)
+    rows = [(0 if i < 750 else i % 9 + 1, i, *map(float, (x[i], y[i], x[i] + w[i], y[i] + h[i], s[i]))) for i in range(n)]
+    rows.append((0, n, -300.0, -300.0, 320.0, 320.0, 50.0))
+    df = spark.createDataFrame(rows, SHAPE).repartition(5)
+    for method, threshold, block in (("Union", 0.3, 64), ("Min", 0.5, 64), ("Union", 0.0, 7)):
+        got = {(r["image_id"], r["box_id"]) for r in boxes.nms(df, threshold, method, block=block).collect()}
+        assert got == _greedy_boxes(rows, threshold, method)
+
+
+def test_suppression_of_odd_boxes(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, 1, 0.0, 0.0, 9.0, 9.0, 5.0), (1, 2, 1.0, 0.0, 9.0, 9.0, 4.0), (1, 2, 1.0, 0.0, 9.0, 9.0, 4.0),
+            (1, 3, nan, 0.0, 9.0, 9.0, 9.0), (1, 4, 0.0, None, 9.0, 9.0, 9.0), (1, 5, -inf, -inf, inf, inf, 9.0),
+            (1, 6, 50.0, 50.0, 60.0, 60.0, None), (1, 6, 50.0, 50.0, 60.0, 60.0, None), (1, None, 0.0, 0.0, 1.0, 1.0, 1.0),
+            (None, 7, 0.0, 0.0, 1.0, 1.0, 1.0), (1, 8, 3.0, 3.0, 2.0, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, SHAPE)
+    for block in (2, 100):
+        got = sorted(r["box_id"] for r in boxes.nms(df, 0.5, block=block).collect())
+        assert got == [1, 3, 4, 5, 6, 6, 8]
+    assert boxes.nms(df.limit(0), 0.5).count() == 0
+
+
 def test_votes_count_once_per_descriptor(spark, vectors):
     base = vectors([(1, [0.0]), (1, [0.1]), (1, [0.2]), (2, [5.0]), (2, [5.1])])
     asked = spark.createDataFrame([(9, 0, [0.0]), (9, 1, [0.1]), (9, 2, [5.0]), (9, 3, [5.1])], "image_id long, query_id long, vector array<double>")
