@@ -50,6 +50,16 @@ def _(t: Tables):
     }
 
 
+@check("additive_many_words", ["below_half_of_few"])
+def _(t: Tables):
+    """More words than one matrix of meetings may hold: solved by gradients in tasks."""
+    from ..operators.additive import DENSE_WORDS, AdditiveQuantizer
+
+    few = _error(t.vectors, AdditiveQuantizer(2, 16, 1, beam=4).fit(t.vectors))
+    many = _error(t.vectors, AdditiveQuantizer(2, DENSE_WORDS // 2 + 1, 1, beam=4).fit(t.vectors))
+    return {"below_half_of_few": many < 0.5 * few}
+
+
 @check("codec_error_falls_with_bits", ["half_below_sq6", "sq6_below_sq4", "split_below_one_book"])
 def _(t: Tables):
     half = _error(t.vectors, codecs.HalfPrecision().fit(t.vectors))

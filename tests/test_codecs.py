@@ -87,6 +87,33 @@ def test_additive_training_helps(rows):
     assert error(rows, more) < error(rows, few)
 
 
+def test_gradients_solve_what_the_matrix_does(rows):
+    from pyspark.sql import functions as F
+
+    from kithra.operators import additive
+
+    codes = F.array(*[(F.xxhash64("id", F.lit(i)) % 5 + 5).cast("int") % 7 for i in range(3)])
+    coded = rows.select("vector", codes.alias("codes"))
+    dense, steps = additive._solve(coded, 3, 7), additive._solve(coded, 3, 7, dense_words=0)
+    assert np.allclose(dense, steps, atol=1e-5 * np.abs(dense).max())
+
+
+def test_residual_beam_equals_table_beam(monkeypatch):
+    from kithra.operators import additive
+
+    words, x = RNG.normal(size=(3, 6, 5)), RNG.normal(size=(40, 5))
+    table = beam_codes(x, words, beam=8)
+    monkeypatch.setattr(additive, "DENSE_WORDS", 0)
+    assert (beam_codes(x, words, beam=8) == table).all()
+
+
+def test_additive_codes_of_many_words(rows):
+    """More words than one matrix may hold; with more words than rows the sums come close to the rows."""
+    codec = AdditiveQuantizer(2, 4096, 1, beam=2).fit(rows)
+    assert codec.words.shape[:2] == (2, 4096)
+    assert error(rows, codec) < 0.05
+
+
 @pytest.mark.parametrize("method", norms.METHODS)
 def test_norm_codes_keep_lengths_close(vectors, method):
     x = X * RNG.uniform(1, 9, size=(600, 1))
