@@ -1,13 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages form a hashed TF-IDF matrix A, with document frequencies from all
-texts.  A distributed pass sums the sketch AᵀAΩ for a random Ω; from it the
-leading right singular vectors and values follow on the driver (matrices of
-vocabulary bins × rank, a fixed size).  The basis is an index, fitted on a
-bounded sample of texts; every passage of every text is projected.  Benchmark
-texts and passages meet in the latent space scaled to unit variance, and in a
-random projection of what the leading vectors leave of A, where rare words
-count.  Pairs of enough cosine are candidates; the longest common subsequence
+texts.  A distributed pass over all of them sums the sketch AᵀAΩ for a random
+Ω; from it the leading right singular vectors and values follow on the driver
+(matrices of vocabulary bins × rank, a fixed size).  Every passage of every
+text is projected.  Benchmark texts and passages meet in the latent space
+scaled to unit variance, and in a random projection of what the leading
+vectors leave of A, where rare words count.  Pairs of enough cosine are candidates; the longest common subsequence
 of words and the answer part decide.
 """
 
@@ -28,7 +27,6 @@ BINS = 1 << 14  # hashed vocabulary
 RANK = 24  # leading singular vectors
 OVERSAMPLE = 8
 REST = 96  # random directions for what those leave
-FIT_TEXTS = 20_000  # bound of the sample that the basis is fitted on
 STRIDE = 16  # words from one passage's start to the next
 PASSAGE = 2  # strides that a passage covers
 COSINE = 0.15  # least cosine in the latent space
@@ -129,19 +127,17 @@ def gram_sketch(docs: DataFrame, text: str, idf: np.ndarray, omega: np.ndarray)
 
     def partial(batches):
         weight, weighted = shared.value
-        total = np.zeros((BINS + 1, width), np.float64)
+        total = np.zeros((width, BINS + 1))
         for batch in batches:
             for part in strides(batch.column(0)):
                 if not part.total:
                     continue
                 # a word stands in the passage of its stride and in those that begin before it
                 back = part.shifted(part.passage_sums(weighted), part.nth, -1)
-                bins = part.bins.reshape(-1)
-                order = np.argsort(bins.astype(np.uint16), kind="stable")
-                cut = np.flatnonzero(np.diff(bins[order], prepend=-1))
-                total[bins[order][cut]] += np.add.reduceat(back[order // STRIDE], cut, axis=0)
-        total = total[:BINS]
-        total *= weight[:, None]
+                bins = part.bins.T.reshape(-1)  # place by place
+                for one, column in zip(total, back.T):
+                    one += np.bincount(bins, np.tile(column, STRIDE), BINS + 1)
+        total = total[:, :BINS].T * weight[:, None]
         values = total.astype(np.float32).reshape(BINS // BLOCK, BLOCK * width)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(BINS // BLOCK)), pa.array([v.tobytes() for v in values], pa.binary())], ["block", "part"])
@@ -175,17 +171,15 @@ class Latent:
         return tuple(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) for x in halves)
 
 
-def fit(docs: DataFrame, text: str = "text", rank: int = RANK, rest: int = REST, fit_texts: int = FIT_TEXTS, seed: int = 0) -> Latent:
-    """Document frequencies of all texts, then the basis from a sample of about ``fit_texts`` texts chosen by hash."""
+def fit(docs: DataFrame, text: str = "text", rank: int = RANK, rest: int = REST, seed: int = 0) -> Latent:
+    """Document frequencies, then the basis, both from every passage of every text."""
     ship_package(docs.sparkSession)
     idf, total = inverse_frequencies(docs, text)
     rng = np.random.default_rng(seed)
     omega, directions = rng.normal(size=(BINS, rank + OVERSAMPLE)), rng.normal(size=(BINS, rest))
     left, scale = np.zeros((BINS, rank)), np.ones(rank)
     if total:
-        share = max(1, -(-docs.count() // fit_texts))
-        sample = docs.filter(F.pmod(F.xxhash64(text), F.lit(share)) == 0) if share > 1 else docs
-        sketch = gram_sketch(sample, text, idf, omega)
+        sketch = gram_sketch(docs, text, idf, omega)
         if sketch.any():
             # one-pass form for a positive matrix G = AᵀA: G ≈ S (ΩᵀS)⁺ Sᵀ with S = GΩ
             core = omega.T @ sketch

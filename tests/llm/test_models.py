@@ -229,6 +229,23 @@ def test_leaks_equal_brute_force(spark, documents):
     assert left == {k for k, _ in docs + odd} - {k for k, _ in pairs if k is not None}
 
 
+def test_basis_comes_from_all_texts(spark):
+    rng = np.random.default_rng(5)
+    names = [f"w{i}" for i in range(10)]
+    drawn = rng.choice(10, size=(24_000, 6), p=np.arange(1, 11) / 55)
+    texts = [" ".join(names[i] for i in row) for row in drawn]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = decontaminate.fit(docs, rank=3).project[:, :3]
+    # each text is one passage; ten words fit the sketch, so the basis is exact
+    bins = np.array([int(decontaminate.bins_of(decontaminate.words_of(w))[0]) for w in names])
+    assert len(set(bins.tolist())) == 10
+    counts = np.stack([(drawn == i).sum(axis=1) for i in range(10)], axis=1)
+    idf = np.log((len(texts) + 1) / ((counts > 0).sum(axis=0) + 0.5))
+    _, singular, right = np.linalg.svd(counts * idf, full_matrices=False)
+    want = idf[:, None] * right[:3].T / singular[:3]
+    assert np.allclose(np.abs(got[bins]), np.abs(want), rtol=0.01, atol=1e-6)
+
+
 def test_leaks_of_nothing(spark, documents):
     df, items = documents([(1, "a b c d e f g h")]), bench(spark, [(1, "a b c d e f g h")])
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, items).collect()] == [(1, 1)]
