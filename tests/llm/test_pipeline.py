@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from kithra.llm import quality
+from kithra.llm import decontaminate, quality
 from kithra.llm.q_data import word_tokenizer
 from kithra.session import materialize
 
@@ -64,6 +64,21 @@ def test_stages_do_what_they_say(spark, tmp_path, documents):
     assert whole == Counter(map(tuple, after.collect()))
 
 
+def test_decontamination_counts_all_texts(spark, tmp_path, monkeypatch):
+    """The matrix whose leading vectors are sought has the passages of every document, however many there are."""
+    spark.createDataFrame([(1, " ".join(f"item{i}" for i in range(30)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(24_000).selectExpr("id doc_id", "concat('some words of text ', id) text")
+    read, sketch = [], decontaminate.gram_sketch
+
+    def counted(texts, *rest):
+        read.append(texts.count())
+        return sketch(texts, *rest)
+
+    monkeypatch.setattr(decontaminate, "gram_sketch", counted)
+    assert corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).count() == 24_000
+    assert read == [24_000]
+
+
 def test_empty_documents(spark, tmp_path, documents):
     folder, *_ = table_folder(spark, tmp_path, documents)
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
