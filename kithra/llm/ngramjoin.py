@@ -210,6 +210,14 @@ def part_keys(rows: DataFrame) -> DataFrame:
     return rows.select("id", F.explode(both).alias("value"))
 
 
+def shared_parts(parts: DataFrame) -> DataFrame:
+    """The rows (value, id) of values that several ids have; most values stand once and are dropped here."""
+    spread = parts.repartition(F.col("value"))
+    # the ids are asked for on both sides, so that both read one exchange
+    often = spread.groupBy("value").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("value")
+    return spread.join(often, "value").select("value", "id").distinct()
+
+
 # ------------------------------------------------------------------ join
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -264,10 +272,7 @@ def linked(parts: DataFrame, sketches: DataFrame, texts: DataFrame, width: int =
     the small ones are paired up; large ones are joined to families, whose
     members are compared block by block (see ``_compared``).
     """
-    # most values stand once; only the others are written
-    spread = parts.repartition(F.col("value"))
-    often = spread.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1").select("value")
-    groups = materialize(spread.join(often, "value").select("value", "id").distinct(), "parts")
+    groups = materialize(shared_parts(parts), "parts")
     concerned = groups.select("id").distinct().count()
     if not concerned:
         return groups.select(F.col("id").alias("a"), F.col("id").alias("b"))

@@ -136,3 +136,13 @@ def test_links_of_far_sizes(documents, percent):
     got = {r["doc_id"]: r["component_id"] for r in ngramjoin.ngram_jaccard_classes(documents(rows), percent=percent).collect()}
     assert got == brute(rows, ngramjoin.WIDTH, percent)
     assert got[1] == 0 and got[991] == 990
+
+
+def test_parts_are_shuffled_once(spark):
+    rows = [(i, v) for i in range(60) for v in (i, i % 7 + 1000, 5000)] + [(3, 9000), (3, 9000)]
+    parts = spark.createDataFrame(rows, "id long, value long").selectExpr("id", "explode(array(value)) value")
+    found = ngramjoin.shared_parts(parts)
+    assert {tuple(r) for r in found.collect()} == {(v, i) for i in range(60) for v in (i % 7 + 1000, 5000)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
