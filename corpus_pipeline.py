@@ -27,7 +27,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without a doc_id too; without labels every score is 0.5 and all stay.  An
     empty table stays empty; extra columns go through as they are.
     """
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
     name = unused(docs.columns, "score")
     return quality.score(docs, model, name=name).filter(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 

@@ -29,7 +29,7 @@ def op2_nearest_vectors(spark, sf_dir):
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model)
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))

@@ -2,6 +2,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kithra.llm import decontaminate, q_models, quality, vptree
@@ -159,6 +160,25 @@ def test_a_long_text_does_not_end_the_sample(spark, documents, monkeypatch):
     assert taken == [(len(rest), len(rest))]
 
 
+def test_labels_beyond_the_sample_count(spark, monkeypatch):
+    for name, value in (("TRAIN_DOCS", 40), ("BLOCK_BYTES", 20_000), ("BLOCK_EPOCHS", 30), ("BLOCK_RATE", 0.01)):
+        monkeypatch.setattr(quality, name, value)
+    keys = [r["id"] for r in spark.range(1500).filter(~quality.held_out("id")).orderBy(quality.keyed_hash("id", seed=0), "id").collect()]
+    # what the sample calls good is bad in all that follows
+    texts = [(k, ("plain words of text " if i % 2 else "x|1 2|y 3|z ") * 3, i % 2 if i < 40 else 1 - i % 2) for i, k in enumerate(keys)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in texts] + [(None, "x")], "doc_id long, text string")
+    docs = docs.unionByName(docs.filter(f"doc_id = {keys[50]}"))
+    labels = spark.createDataFrame([(k, q) for k, _, q in texts], "doc_id long, quality int")
+    model = quality.learn(docs, labels)
+    features = np.concatenate([x for x, _ in quality.passage_features(pa.array([t for _, t, _ in texts]))])
+    assert np.allclose(model.mean, features.mean(axis=0, dtype=np.float64), atol=1e-6)
+    right = {k: q for k, _, q in texts[40:]}
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert np.mean([(scores[k] >= 0.5) == (q == 1) for k, q in right.items()]) == 1
+    again = quality.learn(docs.repartition(5), labels)
+    assert all(np.allclose(again.weights[k], v, atol=1e-6) for k, v in model.weights.items())
+
+
 def test_scores_of_odd_texts(spark, documents):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "word " * 100000), (None, "x"), (5, "same"), (5, "same"), (6, "é𝄞!")]
     df = documents(rows)
