@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, ship_package
 from . import bytewords
 from .hotjoin import keep_ids
+from .workers import lean
 
 BINS = 1 << 14  # hashed vocabulary
 RANK = 24  # leading singular vectors
@@ -108,7 +109,7 @@ def inverse_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(used, -1)), pa.array(np.append(seen[used], total))], ["bin", "n"])
 
-    rows = docs.select(F.col(text)).mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col(text)).mapInArrow(lean(count), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     found = np.zeros(BINS, np.int64)
     total = 0
     for r in rows:  # one row per bin
@@ -151,8 +152,8 @@ def gram_sketch(docs: DataFrame, text: str, idf: np.ndarray, omega: np.ndarray)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "part"])
 
-    parts = docs.select(F.col(text)).mapInArrow(partial, "block long, part binary")
-    added = parts.repartition(F.col("block")).mapInArrow(add, "block long, part binary").collect()  # BINS * width numbers
+    parts = docs.select(F.col(text)).mapInArrow(lean(partial), "block long, part binary")
+    added = parts.repartition(F.col("block")).mapInArrow(lean(add), "block long, part binary").collect()  # BINS * width numbers
     out = np.zeros((BINS // BLOCK, BLOCK * width))
     for r in added:
         out[r["block"]] = np.frombuffer(r["part"], np.float64)
@@ -323,7 +324,7 @@ def _leaks(docs, items: Items, latent: Latent, key, text, item, item_type, cosin
     item_arrow = to_arrow_type(item_type)
     schema = (f"_key {docs.schema[key].dataType.simpleString()}, _item {item_type.simpleString()}, lcs_share double, "
               "answer_share double, cosine double, at_word long")
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return docs.select(F.col(key), F.col(text)).mapInArrow(lean(run), schema)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

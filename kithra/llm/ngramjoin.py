@@ -27,6 +27,7 @@ from ..session import materialize, ship_package
 from . import bytewords
 from .components import components
 from .hotjoin import hot_join, keep_ids
+from .workers import lean
 
 WIDTH = 3  # words of a shingle
 PERCENT = 90  # links at 100 * shared >= PERCENT * together
@@ -38,6 +39,7 @@ BITS_APART = 4  # bits of a compared sketch for each difference that linked sets
 ROUNDS, ROUND_SHARE = 3, 100  # rounds of stars; another one follows while one id in so many gets a link
 PAIR_UP = 32  # members of a group that are paired with each other at once
 NEAR_ROWS, NEAR_WORDS = 4096, 1 << 17  # bounds of a block of members whose sketches are compared
+NEAR_PAIRS = 1 << 18  # pairs of them that are compared at once
 CELL_ROWS, CELL_ELEMENTS, CELL_COLUMNS = 256, 200_000, 8192  # bounds of a block of members whose sets are compared
 
 
@@ -158,7 +160,7 @@ def shingle_rows(docs: DataFrame, text: str, columns: list[str], width: int) ->
                 sets = list(bytewords.shingle_sets(part.column(len(columns)), width))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], _lists(sets)], [*columns, "shingles"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def _lists(arrays: list[np.ndarray], kind=np.uint64) -> pa.Array:
@@ -197,7 +199,7 @@ def sketched(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
                      *[_lists([x[k].view(np.uint64) for x in bits]) for k in (0, 1)]],
                     ["key", "n_shingles", "print", "band", "own_at", "own", "next_at", "next", "own_bits", "next_bits"])
 
-    return rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, "
+    return rows.mapInArrow(lean(run), f"key {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, "
                                 "band int, own_at array<int>, own array<int>, next_at array<int>, next array<int>, own_bits array<long>, next_bits array<long>")
 
 
@@ -392,11 +394,12 @@ def near_members(table: pa.Table, percent: int) -> pa.Table:
         # smaller sets that cannot reach this band have no sketch for it
         under = under[pc.list_value_length(table["next_bits"]).to_numpy()[under] > 0]
         for who, bits in ((here, own), (under, _bit_matrix(table["next_bits"], under))):
-            for low in range(0, len(who), 512):
-                mine = who[low:low + 512]
+            step = max(1, NEAR_PAIRS // len(here))
+            for low in range(0, len(who), step):
+                mine = who[low:low + step]
                 differ = np.zeros((len(mine), len(here)), np.int64)
                 for w in range(own.shape[1]):
-                    differ += np.bitwise_count(bits[low:low + 512, w][:, None] ^ own[:, w][None, :])
+                    differ += np.bitwise_count(bits[low:low + step, w][:, None] ^ own[:, w][None, :])
                 a, b = sizes[mine][:, None], sizes[here][None, :]
                 close = (differ * (100 + percent) <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
                 close &= component[mine][:, None] != component[here][None, :]

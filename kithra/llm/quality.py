@@ -22,6 +22,7 @@ from ..functions.hashing import keyed_hash
 from ..session import materialize, ship_package
 from .hotjoin import SMALL_IDS, keep_ids
 from .names import unused
+from .workers import lean
 from . import bytewords
 
 PASSAGE_WORDS = 64
@@ -251,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = docs.sparkSession.createDataFrame(kept, f"_k {rows.schema['_key'].dataType.simpleString()}, _told long")
     encoded = rows.join(F.broadcast(chosen), (F.col("_key") == F.col("_k")) & (told == F.col("_told"))).dropDuplicates(["_key"])
     found = encoded.select("_at", "_key", "_label", "_text").mapInArrow(
-        _encoded, f"_at long, _key {kind}, _label int, n long, features binary").collect()
+        lean(_encoded), f"_at long, _key {kind}, _label int, n long, features binary").collect()
     found.sort(key=lambda r: (r["_at"], r["_key"], r["n"], bytes(r["features"])))
     if not found:
         return fit(np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.zeros(0))
@@ -285,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = once.unionByName(more.select(*once.columns))
     kind = rows.schema["_key"].dataType.simpleString()
     encoded = rows.select(keyed_hash("_key", seed=seed).alias("_at"), "_key", "_label", "_text").mapInArrow(
-        _encoded, f"_at long, _key {kind}, _label int, n long, features binary")
+        lean(_encoded), f"_at long, _key {kind}, _label int, n long, features binary")
     encoded = materialize(encoded, "passages")
 
     def sums(batches):
@@ -302,7 +303,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             out.flat[r["at"]] = r["value"]
         return out
 
-    total = summed(encoded.select("features").mapInArrow(sums, "at long, value double"), (3, FEATURES))
+    total = summed(encoded.select("features").mapInArrow(lean(sums), "at long, value double"), (3, FEATURES))
     mean = total[1] / total[0]
     scale = np.sqrt(np.maximum(total[2] / total[0] - mean * mean, 0)) + 1e-3
     start = restated(model, mean, scale)
@@ -337,13 +338,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
     kept = [f for f in docs.schema.fields if f.name != name]
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias(unused(docs.columns, "_scored")))
+    names = [f.name for f in kept]
+    # a text that is kept goes to the worker once
+    at = names.index(text) if text in names else len(kept)
+    asked = [] if text in names else [F.col(f"`{text}`").alias(unused(docs.columns, "_scored"))]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], *asked)
 
     def run(batches):
         for batch in batches:
-            out = [shared.value.scores(x, n) for x, n in passage_features(batch.column(len(kept)))]
+            out = [shared.value.scores(x, n) for x, n in passage_features(batch.column(at))]
             column = pa.array(np.concatenate([*out, np.zeros(0)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], [f.name for f in kept] + [name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], column], [*names, name])
 
     schema = docs.select(*[F.col(f"`{f.name}`") for f in kept]).schema.add(name, "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

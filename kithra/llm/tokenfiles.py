@@ -24,9 +24,11 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_path, ship_package
 from .bytewords import SPACE, sliced
+from .workers import lean
 
 END_ID = 2  # appended to every text
 SLICE_BYTES = 8 << 20
+ROWS_BYTES = 4 << 20  # ids that are handed on at once
 SEPARATOR = " \x01 "
 
 # Decoding tables by control byte: length of each of its four numbers.
@@ -172,15 +174,39 @@ def encode_texts(path: str, column: pa.Array, lower_words: bool):
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((x for piece in ids for x in piece), np.uint32, int(n.sum()))
         begins = np.cumsum(n) - n
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        size = n[which]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) + np.repeat(begins[which] - (ends - size), size)
-        stream = flat[place]
-        bounds = np.concatenate([[0], ends])[at]
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        del pieces, coded, ids, data
+        # text by text: places for the ids of a whole slice would take many times its size
         for r in range(last - first):
-            yield whole[r] if r in whole else stream[bounds[r]:bounds[r + 1]]
+            if r in whole:
+                yield whole[r]
+                continue
+            own = which[at[r]:at[r + 1]]
+            size = n[own]
+            ends = np.cumsum(size)
+            yield flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins[own] - (ends - size), size)]
+
+
+def encoded_rows(batches, tokenizer: str, end_id: int, lower_words: bool):
+    """(key, text) to (key, wide, ids), in batches of about ``ROWS_BYTES``; ids of 16 or, if ``wide``, 32 bits."""
+    for batch in batches:
+        first, size, wide, ids = 0, 0, [], []
+
+        def rows():
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, len(ids)), pa.array(wide, pa.bool_()), pa.array(ids, pa.binary())], ["key", "wide", "ids"])
+
+        for x in encode_texts(tokenizer, batch.column(1), lower_words):
+            x = np.append(x, np.uint32(end_id))
+            x = x.astype("<u2") if x.max() < 1 << 16 else x.astype("<u4")
+            wide.append(x.itemsize == 4)
+            ids.append(x.tobytes())
+            size += x.nbytes
+            if size >= ROWS_BYTES:
+                yield rows()
+                first, size, wide, ids = first + len(ids), 0, [], []
+        if ids:
+            yield rows()
 
 
 # ------------------------------------------------------------------ writing and reading
@@ -200,15 +226,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, key: str = "do
     waiting = scratch_path(spark, "token-ids")
 
     def encode(batches):
-        for batch in batches:
-            ids = [np.append(x, np.uint32(end_id)) for x in encode_texts(tokenizer, batch.column(1), lower_words)]
-            narrow = [(x.astype("<u2") if x.max() < 1 << 16 else x.astype("<u4")) for x in ids]
-            wide = pa.array([x.itemsize == 4 for x in narrow], pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), wide, pa.array([x.tobytes() for x in narrow], pa.binary())], ["key", "wide", "ids"])
+        yield from encoded_rows(batches, tokenizer, end_id, lower_words)
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows.mapInArrow(encode, f"key {kind}, wide boolean, ids binary").write.option("compression", "zstd").parquet(waiting)
+    rows.mapInArrow(lean(encode), f"key {kind}, wide boolean, ids binary").write.option("compression", "zstd").parquet(waiting)
     raw = spark.read.parquet(waiting)
 
     def count(batches):
@@ -222,7 +243,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, key: str = "do
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "count"])
 
-    counts = raw.select("wide", "ids").mapInArrow(count, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+    counts = raw.select("wide", "ids").mapInArrow(lean(count), "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
     # one row per id of the vocabulary, which has a fixed size
     ranked = [(r["id"], r["count"]) for r in counts.orderBy(F.desc("count"), "id").collect()]
     spark.createDataFrame([(k, i, c) for k, (i, c) in enumerate(ranked)], "rank long, id long, count long") \
@@ -250,7 +271,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, key: str = "do
 
     # the range partitioning looks at the waiting rows only; nothing is encoded twice
     ordered = raw.repartitionByRange("key").sortWithinPartitions("key").withColumn("part", F.spark_partition_id())
-    ordered.mapInArrow(code, f"key {kind}, part int, seq long, n_tokens long, control binary, data binary") \
+    ordered.mapInArrow(lean(code), f"key {kind}, part int, seq long, n_tokens long, control binary, data binary") \
         .write.parquet(f"{path}/documents")
 
 
@@ -262,16 +283,15 @@ def read_vocabulary(spark: SparkSession, path: str) -> np.ndarray:
 
 def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids): each text's ids and how many come before them."""
-    return _read(spark, path, key, lambda ids: pa.array(ids, pa.list_(pa.int64())), "ids array<long>")
+    return _read(spark, path, key, lambda ids: ids, pa.list_(pa.int64()), "ids array<long>")
 
 
 def read_checks(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32): the ids are decoded, and their little-endian 32-bit form is checked."""
-    return _read(spark, path, key, lambda ids: pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                 "ids_crc32 long")
+    return _read(spark, path, key, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64(), "ids_crc32 long")
 
 
-def _read(spark, path, key, finish, column) -> DataFrame:
+def _read(spark, path, key, finish, kept, column) -> DataFrame:
     ship_package(spark)
     table = spark.read.parquet(f"{path}/documents")
     shared = spark.sparkContext.broadcast(read_vocabulary(spark, path))
@@ -279,12 +299,12 @@ def _read(spark, path, key, finish, column) -> DataFrame:
 
     def decode(batches):
         for batch in batches:
-            ids = [shared.value[decode_numbers(c.as_buffer(), d.as_buffer(), n)] for c, d, n in
+            ids = [finish(shared.value[decode_numbers(c.as_buffer(), d.as_buffer(), n)]) for c, d, n in
                    zip(batch.column(4), batch.column(5), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], finish(ids)], ["key", "part", "seq", "n_tokens", column.split()[0]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, kept)], ["key", "part", "seq", "n_tokens", column.split()[0]])
 
     decoded = table.select("key", "part", "seq", "n_tokens", "control", "data").mapInArrow(
-        decode, f"key {kind}, part int, seq long, n_tokens long, {column}")
+        lean(decode), f"key {kind}, part int, seq long, n_tokens long, {column}")
     # one total per written part, then a running sum inside the part
     parts = table.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     window = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

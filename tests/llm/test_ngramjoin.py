@@ -146,3 +146,26 @@ def test_parts_are_shuffled_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_near_members_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n = 2 * ngramjoin.NEAR_ROWS  # two full blocks meet in a cell
+    first = rng.integers(-2**62, 2**62, 4)
+    bits = np.where(rng.random((n, 1)) < 0.5, first, rng.integers(-2**62, 2**62, (n, 4)))
+    bits[:, 0] ^= 1 << rng.integers(0, 60, n)
+    table = pa.table({
+        "id": np.arange(n), "component": np.arange(n) // 2, "n_shingles": np.full(n, 200), "band": pa.array(np.full(n, 9), pa.int32()),
+        "own_bits": pa.array(list(bits)), "next_bits": pa.array([[]] * n, pa.list_(pa.int64()))})
+    tracemalloc.start()
+    try:
+        got = ngramjoin.near_members(table, 80)["id"].to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == np.flatnonzero((bits[:, 1:] == first[1:]).all(axis=1)).tolist()
+    assert peak < 32 << 20

@@ -76,3 +76,44 @@ def test_markers_of_any_case_give_the_ids_of_the_whole_text(texts):
     texts = ["one <|ENDOFTEXT|> two", "Three<|EndOfText|>4", "<|endoftext|>", *texts, "<|StartOfText|>"]
     got = [x.tolist() for x in tokenfiles.encode_texts(word_tokenizer(), pa.array(texts, pa.string()), True)]
     assert got == [plain(t) for t in texts]
+
+
+def test_ids_of_a_batch_are_handed_on_in_parts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = np.array([chr(97 + k % 26) * (k % 5 + 1) + chr(97 + k // 26) for k in range(400)])
+    texts = [" ".join(words[rng.integers(0, 400, 5000)]) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], ["key", "text"])
+    path = word_tokenizer()
+    expected = [zlib.crc32(np.array([*x, 2], "<u2").tobytes()) for x in tokenfiles.encode_texts(path, batch.column(1), True)]
+    tracemalloc.start()
+    try:
+        parts = [(p.num_rows, p.column(0).to_pylist(), [zlib.crc32(x) for x in p.column(2).to_pylist()])
+                 for p in tokenfiles.encoded_rows([batch], path, 2, True)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(parts) > 1
+    assert [k for p in parts for k in p[1]] == list(range(400))
+    assert [c for p in parts for c in p[2]] == expected
+    assert peak < 15 * tokenfiles.SLICE_BYTES  # several arrays as long as a slice, none that holds a place for each id
+
+
+def test_workers_give_memory_back_after_the_last_batch(monkeypatch):
+    from kithra.llm import workers
+
+    told = []
+    monkeypatch.setattr(workers, "release", lambda: told.append("released"))
+
+    def run(batches):
+        for x in batches:
+            told.append(x)
+            yield x + 1
+
+    assert list(workers.lean(run)(iter([1, 2]))) == [2, 3]
+    assert told == [1, 2, "released"]
+    monkeypatch.undo()
+    workers.release()
