@@ -48,6 +48,28 @@ def test_crowded_words_are_split_without_loss(texts):
     assert got == brute_pairs(corpus(), 0.4)
 
 
+def test_pairs_below_the_threshold_leave_no_task(spark):
+    """Every set shares ten words with every other; only the pairs that come near the threshold are handed on."""
+    from kithra.operators import overlap
+
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(10)]
+    sets = [common + [f"r{rng.randrange(4000)}" for _ in range(20)] for _ in range(300)]
+    sets += [s[:-3] + ["x", "y", "z"] for s in sets[:20]]
+    sets = [(i, sorted(set(s))) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(sets, "set_id long, words array<string>")
+
+    def jac(x, y):
+        return len(set(x) & set(y)) / len(set(x) | set(y))
+
+    want = {(i, j) for (i, x), (j, y) in itertools.combinations(sets, 2) if jac(x, y) > 0.5}
+    for rows in (1 << 16, 40):
+        got = [(r["a"], r["b"]) for r in overlap.similar_sets(df, None, 0.5, rows).collect()]
+        assert len(got) == len(set(got)) and want <= set(got) and len(got) <= 2 * len(want)
+    both = {(r["a"], r["b"]) for r in overlap.similar_sets(df.filter("set_id < 50"), df, 0.5, 40).collect()}
+    assert {(i, j) for i, x in sets[:50] for j, y in sets if jac(x, y) > 0.5} <= both
+
+
 def test_copies_are_one_set_with_many_members(texts):
     sets, members = setjoin.distinct_sets(texts, hot_rows=10)
     assert members.count() == 140 and sets.agg(F.sum("copies")).first()[0] == 140
