@@ -1,3 +1,7 @@
+import functools
+import operator
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +164,40 @@ def test_block_join_wants_one_of_k_and_radius(vectors):
     base = vectors([(0, [0.0])])
     with pytest.raises(ValueError):
         blockjoin.block_join(knn.as_queries(base), base)
+
+
+TERMS = {
+    "l1": lambda x, y: abs(x - y), ("lp", 3): lambda x, y: np.power(abs(x - y), 3.0),
+    "canberra": lambda x, y: 0.0 if x == y == 0 else abs(x - y) / (abs(x) + abs(y)),
+    "jensenshannon": lambda x, y: sum(0.5 * p * np.log(p / ((x + y) / 2)) for p in (x, y) if p > 0),
+    "sign_mismatch": lambda x, y: float((x > 0) != (y > 0)),
+}
+
+
+@pytest.mark.parametrize("metric", [*TERMS, "linf", "braycurtis"])
+def test_blocks_taken_in_tiles_are_exact_and_need_little_memory(metric):
+    rng = np.random.default_rng(2)
+    q, b = (np.abs(rng.normal(size=(n, 6))) * (rng.random((n, 6)) < 0.7) for n in (40, 3000))
+    b[1000:1040] = q
+    if metric != "jensenshannon":
+        q[::2] *= -1
+    kind = kernels.metric_of(metric)
+    if metric in TERMS:
+        # from left to right: the built-in sum makes up for rounding
+        keys = [[functools.reduce(operator.add, (TERMS[metric](x, y) for x, y in zip(u, v)), 0.0) for v in b[900:1100].tolist()]
+                for u in q.tolist()]
+    elif metric == "linf":
+        keys = np.abs(q[:, None] - b[None, 900:1100]).max(axis=2)
+    else:
+        num, den = (sum(np.abs(q[:, None, j] + s * b[None, 900:1100, j]) for j in range(6)) for s in (-1, 1))
+        keys = np.divide(num, den, out=np.zeros_like(num), where=den != 0)
+    best = kernels.TopK(len(q), 5)
+    best.scan(kind, q, b[900:1100], np.arange(900, 1100))
+    for row, key in enumerate(np.array(keys)):
+        order = np.lexsort((np.arange(200), key))[:5]
+        assert best.slots[row].tolist() == (900 + order).tolist() and best.keys[row].tolist() == key[order].tolist()
+    tracemalloc.start()
+    kind.block(np.tile(q, (8, 1)), b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3.5 * 320 * 3000 * 8
