@@ -166,6 +166,17 @@ def test_block_join_wants_one_of_k_and_radius(vectors):
         blockjoin.block_join(knn.as_queries(base), base)
 
 
+def test_a_small_base_is_dealt_to_all_cores(spark, vectors, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = vectors(enumerate(rng.normal(size=(200, 5)))).coalesce(1)
+    asked = base.withColumnRenamed("id", "query_id")
+    want = knn.knn_join(asked, base, 3, "l1").orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(blockjoin, "SPREAD_QUERIES", 10)
+    found = blockjoin.block_join(asked, base, "l1", k=3)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert knn.knn_join(asked, base, 3, "l1").orderBy("query_id", "rank").collect() == want
+
+
 TERMS = {
     "l1": lambda x, y: abs(x - y), ("lp", 3): lambda x, y: np.power(abs(x - y), 3.0),
     "canberra": lambda x, y: 0.0 if x == y == 0 else abs(x - y) / (abs(x) + abs(y)),
