@@ -166,9 +166,10 @@ def test_block_join_wants_one_of_k_and_radius(vectors):
         blockjoin.block_join(knn.as_queries(base), base)
 
 
-def test_a_small_base_is_dealt_to_all_cores(spark, vectors, monkeypatch):
+def test_a_small_base_is_dealt_to_all_cores(spark, vectors, monkeypatch, tmp_path):
     rng = np.random.default_rng(4)
-    base = vectors(enumerate(rng.normal(size=(200, 5)))).coalesce(1)
+    vectors(enumerate(rng.normal(size=(200, 5)))).coalesce(1).write.parquet(f"{tmp_path}/base")
+    base = spark.read.parquet(f"{tmp_path}/base")  # of a scan the size is known
     asked = base.withColumnRenamed("id", "query_id")
     want = knn.knn_join(asked, base, 3, "l1").orderBy("query_id", "rank").collect()
     monkeypatch.setattr(blockjoin, "SPREAD_QUERIES", 10)
